@@ -58,7 +58,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.001"
     spark = build_session(
-        "check", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+        "check", "local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
