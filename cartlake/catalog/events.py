@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartlake import schemas
-from cartlake.catalog.registry import plain, props_k, query, table
+from cartlake.catalog.registry import props_k, query, table
 from cartlake.functions import signature
 from cartlake.operators import envelope
 
@@ -207,5 +207,3 @@ def metadata_of_payload(spark, sf):
     )
     return envelope.payload_columns(landed).groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"))
 
-
-__all__ = ["plain"]

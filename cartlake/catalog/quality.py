@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartlake import schemas
 from cartlake.catalog import facts
 from cartlake.catalog.registry import plain, props_k, query, table
-from cartlake.operators import curated, kpi, quality
-from cartlake.operators.state import as_of_literal, upsert
+from cartlake.operators import quality
+from cartlake.operators.state import upsert
 
 AS_OF = "2024-01-30 12:34:00"
 _HOUR = "TIMESTAMP '2024-01-30 12:00:00'"
@@ -216,5 +215,3 @@ def event_lag(spark, sf):
     out = quality.event_lag(events, "event_time", "ingested_at", ["event_type"], F.col("bad"), 60)
     return out.withColumn("lag_p95_seconds", F.expr("floor(lag_p95_seconds * 1000D + 0.5D) / 1000D"))
 
-
-__all__ = ["as_of_literal", "curated", "kpi", "schemas"]

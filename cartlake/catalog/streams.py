@@ -1 +1,115 @@
+"""Streaming queries: the driver's events as a file stream, run until everything is read.
+
+Each must give what its batch twin gives.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartlake.catalog import alerting
+from cartlake.catalog.registry import ORACLES, TABLES, plain, props_k, query
+from cartlake.session import shared_dir, streaming_session
+from cartlake.sources import readers
+from cartlake.streaming import jobs
+
+
+def stream_events(session, sf):
+    return readers.stream_files(session, sf, TABLES["events"], "parquet", glob="events.parquet")
+
+
+def _session(spark):
+    """State partitions follow the cores of the cluster; a checkpoint keeps its number."""
+    return streaming_session(spark, max(8, spark.sparkContext.defaultParallelism))
+
+
+@query("stream_state_upsert", ORACLES["state_upsert"])
+def stream_state_upsert(spark, sf):
+    """Latest event per user as a running aggregate."""
+    s = _session(spark)
+    path = shared_dir(spark, "state")
+    events = stream_events(s, sf)
+    jobs.upsert_stream(events, ["user_id"], ["ts", "event_id"], path, shared_dir(spark, "ckpt")).awaitTermination()
+    return plain(jobs.read_state(spark, path, events.schema, ["user_id"]))
+
+
+@query("stream_alarm_5min", ORACLES["alarm_5min"])
+def stream_alarm_5min(spark, sf):
+    """5-minute alarm windows, each at its final value."""
+    s = _session(spark)
+    path = shared_dir(spark, "alarms")
+    samples = alerting.with_samples(stream_events(s, sf))
+    jobs.alarm_stream(samples, "ts", "source", F.col("errors"), path, shared_dir(spark, "ckpt")).awaitTermination()
+    clock = T.TimestampType()
+    fields = T.StructType(
+        [
+            T.StructField("window_start", clock),
+            T.StructField("window_end", clock),
+            T.StructField("metric", T.StringType()),
+            T.StructField("value", T.LongType()),
+        ]
+    )
+    return plain(jobs.read_state(spark, path, fields, ["window_start", "metric"]))
+
+
+@query(
+    "stream_dedupe",
+    """SELECT event_id, user_id, event_type FROM events""",
+)
+def stream_dedupe(spark, sf):
+    """Every event delivered up to three times, kept once."""
+    s = _session(spark)
+    path = shared_dir(spark, "unique")
+    events = stream_events(s, sf).select("event_id", "user_id", "event_type", "ts")
+    copies = F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int"))
+    delivered = events.withColumn("copy", F.explode(copies)).drop("copy")
+    jobs.dedupe_stream(delivered, "ts", "event_id", path, shared_dir(spark, "ckpt")).awaitTermination()
+    return jobs.read_log(spark, path, events.schema).select("event_id", "user_id", "event_type")
+
+
+@query("stream_change_feed", ORACLES["change_feed"])
+def stream_change_feed(spark, sf):
+    """Old and new image of every event."""
+    s = _session(spark)
+    feed, tails = shared_dir(spark, "feed"), shared_dir(spark, "tails")
+    events = stream_events(s, sf)
+    jobs.change_feed_stream(
+        events, "user_id", "ts", "event_id", ["event_id", "event_type", "value"], feed, tails, shared_dir(spark, "ckpt")
+    ).awaitTermination()
+    rows = spark.read.parquet(feed)
+    return rows.select(
+        "event_id",
+        "user_id",
+        F.col("old_image.event_type").alias("old_type"),
+        F.col("old_image.value").alias("old_value"),
+        F.col("old_image.event_id").alias("old_event"),
+        F.col("new_image.event_type").alias("new_type"),
+        F.col("new_image.value").alias("new_value"),
+    )
+
+
+@query(
+    "stream_landing",
+    """SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'signup' THEN 'customers' ELSE 'other' END AS entity,
+  strftime(ts, '%Y-%m-%d') AS date, count(*) AS events
+FROM events WHERE event_id % 10 <> 0 GROUP BY 1, 2""",
+)
+def stream_landing(spark, sf):
+    """Transport events to partitioned raw files; a tenth has no payload and goes to the quarantine."""
+    s = _session(spark)
+    path, rejected = shared_dir(spark, "raw-stream"), shared_dir(spark, "rejected")
+    e = stream_events(s, sf).withColumn("k", props_k())
+    topic = F.when(F.col("event_type") == "purchase", "orders/create").when(
+        F.col("event_type") == "signup", "customers/create"
+    ).otherwise(F.concat(F.lit("misc/"), F.col("event_type")))
+    detail = F.when(F.col("event_id") % 10 == 0, "{}").otherwise(F.to_json(F.struct("event_id", "k")))
+    events = e.select(
+        F.col("event_id").cast("string").alias("id"),
+        topic.alias("detail-type"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
+        detail.alias("detail"),
+    )
+    jobs.land_stream(events, path, rejected, shared_dir(spark, "ckpt"), by_hour=False).awaitTermination()
+    return readers.read_landed(spark, path).groupBy("entity", "date").agg(F.count(F.lit(1)).alias("events"))
 

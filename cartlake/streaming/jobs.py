@@ -33,6 +33,11 @@ def _start(
     )
 
 
+def _with_event_time(df: DataFrame, time: str, late: str, name: str) -> DataFrame:
+    """Watermark on an instant; a wall clock without a zone is UTC."""
+    return df.withColumn(name, F.col(time).cast("timestamp")).withWatermark(name, late)
+
+
 def _log_writer(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
@@ -56,7 +61,12 @@ def compact_state(spark: SparkSession, path: str, schema: T.StructType, keys: li
 
 
 def land_stream(
-    events: DataFrame, path: str, quarantine: str, checkpoint: str, trigger: dict | None = None
+    events: DataFrame,
+    path: str,
+    quarantine: str,
+    checkpoint: str,
+    by_hour: bool = True,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Transport events to partitioned raw files, rejects to the quarantine.
 
@@ -70,9 +80,11 @@ def land_stream(
         staged = envelope.landing_partitions(good).withColumns(
             {"entity": envelope.route_entity(F.col("event_type")), "batch": F.lit(batch_id)}
         )
-        columns = ["entity", "date", "hour", "batch"]
+        columns = ["entity", "date", "hour", "batch"] if by_hour else ["entity", "date", "batch"]
+        if not by_hour:
+            staged = staged.drop("hour")
         (
-            staged.hint("rebalance", *columns[:3])
+            staged.hint("rebalance", *columns[:-1])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*columns)
@@ -151,9 +163,8 @@ def alarm_stream(
     ``update`` reports a window as soon as it fires and again when it grows, ``append`` once,
     after the watermark has passed it.
     """
-    windows = alerts.alarm_windows(
-        samples.withWatermark(time, late), time, name, value, statistic, threshold
-    )
+    timed = _with_event_time(samples, time, late, time)
+    windows = alerts.alarm_windows(timed, time, name, value, statistic, threshold)
     return _start(windows, checkpoint, _log_writer(path), mode, trigger or {"availableNow": True})
 
 
@@ -161,7 +172,8 @@ def dedupe_stream(
     events: DataFrame, time: str, event_id: str, path: str, checkpoint: str, late: str = "1 hour", trigger: dict | None = None
 ) -> StreamingQuery:
     """Redelivered events dropped within the retry age."""
-    unique = events.withWatermark(time, late).dropDuplicatesWithinWatermark([event_id])
+    timed = _with_event_time(events, time, late, "_seen_at")
+    unique = timed.dropDuplicatesWithinWatermark([event_id]).drop("_seen_at")
     return _start(unique, checkpoint, _log_writer(path), "append", trigger or {"availableNow": True})
 
 
