@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from cartlake import schemas
 from cartlake.functions import numeric as num
 from cartlake.functions import timeutil as tu
+from cartlake.functions.jsontext import parsed
 
 # --- fixed values: words that mark a subscription order and its rhythm ---
 SUBSCRIPTION_TAGS = ["subscription", "recurring"]
@@ -104,8 +105,7 @@ def total_quantity(items: Column) -> Column:
 
 def _parsed(envelopes: DataFrame, schema: str, path: str | None = None) -> DataFrame:
     """Envelopes with their payload parsed into ``d``."""
-    source = F.get_json_object("data", path) if path else F.col("data")
-    return envelopes.withColumn("d", F.from_json(source, schema))
+    return parsed(envelopes, F.get_json_object("data", path) if path else F.col("data"), schema)
 
 
 def _stamp(as_of: Column | None) -> Column:

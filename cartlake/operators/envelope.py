@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlake.functions import timeutil as tu
+from cartlake.functions.jsontext import computed_once, parsed
 
 # --- fixed values: header names of the store platform, topic prefixes of each entity ---
 TOPIC_HEADER = "X-Shopify-Topic"
@@ -48,8 +49,9 @@ def extract_payload(events: DataFrame, ingested_at: Column | None = None) -> Dat
     wrapped = F.coalesce(F.array_contains(F.json_object_keys("detail"), "payload"), F.lit(False))
     parts = F.from_json("detail", "payload string, metadata map<string,string>")
     no_metadata = F.create_map().cast("map<string,string>")
-    staged = events.withColumns({"_wrapped": wrapped, "_parts": F.when(wrapped, parts)})
-    metadata = F.coalesce(F.col("_parts.metadata"), no_metadata)
+    staged = computed_once(events, F.struct(wrapped.alias("wrapped"), parts.alias("parts")), "_p")
+    is_wrapped = F.col("_p.wrapped")
+    metadata = F.coalesce(F.when(is_wrapped, F.col("_p.parts.metadata")), no_metadata)
     stamp = ingested_at if ingested_at is not None else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
     )
@@ -58,7 +60,7 @@ def extract_payload(events: DataFrame, ingested_at: Column | None = None) -> Dat
         F.coalesce(_truthy(metadata[TOPIC_HEADER]), F.col("detail-type")).alias("event_type"),
         F.coalesce(_truthy(metadata[TRIGGERED_HEADER]), F.col("time")).alias("event_time"),
         stamp.alias("ingested_at"),
-        F.when(F.col("_wrapped"), F.col("_parts.payload")).otherwise(F.col("detail")).alias("data"),
+        F.when(is_wrapped, F.col("_p.parts.payload")).otherwise(F.col("detail")).alias("data"),
         metadata.alias("metadata"),
         *([F.col("_corrupt_record")] if "_corrupt_record" in events.columns else []),
     )
@@ -135,8 +137,7 @@ def customer_operation(topic: Column) -> Column:
 
 def subscription_envelope(requests: DataFrame) -> DataFrame:
     """Accepted subscription-platform requests to envelopes; their clock is arrival."""
-    body = F.from_json("body", "type string, data string")
-    return requests.withColumn("_b", body).select(
+    return parsed(requests, F.col("body"), "type string, data string", "_b").select(
         F.col("request_id").alias("event_id"),
         F.col("_b.type").alias("event_type"),
         F.lit(None).cast("string").alias("event_time"),
@@ -148,8 +149,7 @@ def subscription_envelope(requests: DataFrame) -> DataFrame:
 
 def payment_envelope(requests: DataFrame) -> DataFrame:
     """Accepted gateway requests to envelopes; the whole event is kept as ``data``."""
-    body = F.from_json("body", "id string, type string")
-    return requests.withColumn("_b", body).select(
+    return parsed(requests, F.col("body"), "id string, type string", "_b").select(
         F.col("_b.id").alias("event_id"),
         F.col("_b.type").alias("event_type"),
         F.lit(None).cast("string").alias("event_time"),

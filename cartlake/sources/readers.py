@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlake import schemas
+from cartlake.functions.jsontext import parsed
 
 LANDED = T.StructType([*schemas.ENVELOPE.fields, T.StructField(schemas.CORRUPT, T.StringType())])
 
@@ -117,7 +118,7 @@ def read_legacy_performance(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_legacy_performance(rows: DataFrame, column: str) -> DataFrame:
     """The same payloads held as text in a column."""
-    return rows.select(F.from_json(column, schemas.LEGACY_PERFORMANCE).alias("p")).select("p.*")
+    return parsed(rows, F.col(column), schemas.LEGACY_PERFORMANCE, "p").select("p.*")
 
 
 def stream_files(
