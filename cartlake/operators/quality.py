@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartlake import schemas
@@ -233,27 +234,49 @@ def validate_orders(orders: DataFrame) -> DataFrame:
     return _violations(orders, rules).unionByName(_violations(keys, {"duplicate_id": F.col("_n") > 1}))
 
 
-def event_lag(events: DataFrame, event_time: str, ingested: str, by: list[str], quarantined: Column, sla_seconds: int) -> DataFrame:
+def weighted_percentiles(
+    counted: DataFrame, by: list[str], value: str, weight: str, wanted: dict[str, float]
+) -> DataFrame:
+    """Exact interpolated percentiles of counted values per group.
+
+    The values of a group are walked in order by a window, which spills to disk; the built-in
+    percentile would hold all distinct values of a group in memory.
+    """
+    totals = counted.groupBy(*by).agg(F.sum(weight).alias("_total"))
+    running = F.sum(weight).over(W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, 0))
+    walked = counted.withColumn("_upto", running).join(totals, by)
+    cuts, out = [], []
+    for name, share in wanted.items():
+        at = F.lit(share) * (F.col("_total") - 1)
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            cuts.append(F.min(F.when(F.col("_upto") > rank, F.col(value))).alias(f"_{name}_{side}"))
+        cuts.append(F.max(at - F.floor(at)).alias(f"_{name}_part"))
+        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        out.append((low + (high - low) * F.col(f"_{name}_part")).cast("double").alias(name))
+    return walked.groupBy(*by).agg(*cuts).select(*by, *out)
+
+
+def event_lag(
+    events: DataFrame, event_time: str, ingested: str, by: list[str], quarantined: Column, sla_seconds: int
+) -> DataFrame:
     """Arrival lag, quarantined events and share within the agreed time.
 
-    Lag is taken in whole seconds and counted per value, so the exact percentile works on a
-    table of distinct lags and not on the events.
+    Lag is taken in whole seconds and counted per value first, so everything after the first
+    aggregate works on distinct lags and not on events.
     """
     lag = F.unix_timestamp(F.col(ingested)) - F.unix_timestamp(F.col(event_time))
     counted = (
         events.select(*by, lag.alias("_lag"), F.coalesce(quarantined, F.lit(False)).alias("_bad"))
-        .groupBy(*by, "_lag", "_bad")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*by, "_lag")
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_bad"), 1)).alias("_rejected"))
     )
-    total = F.sum("_n")
-    return counted.groupBy(*by).agg(
-        total.alias("events"),
-        F.expr("percentile(_lag, 0.5, _n)").alias("lag_p50_seconds"),
-        F.expr("percentile(_lag, 0.95, _n)").alias("lag_p95_seconds"),
+    on_time = F.coalesce(F.sum(F.when(F.col("_lag") <= sla_seconds, F.col("_n"))), F.lit(0))
+    totals = counted.groupBy(*by).agg(
+        F.sum("_n").alias("events"),
         F.max("_lag").alias("lag_max_seconds"),
-        F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0)).alias("quarantined"),
-        F.try_divide(
-            F.coalesce(F.sum(F.when(F.col("_lag") <= sla_seconds, F.col("_n"))), F.lit(0)).cast("double"),
-            total.cast("double"),
-        ).alias("on_time_share"),
+        F.sum("_rejected").alias("quarantined"),
+        F.try_divide(on_time.cast("double"), F.sum("_n").cast("double")).alias("on_time_share"),
     )
+    known = counted.filter(F.col("_lag").isNotNull())
+    shares = {"lag_p50_seconds": 0.5, "lag_p95_seconds": 0.95}
+    return totals.join(weighted_percentiles(known, by, "_lag", "_n", shares), by, "left")

@@ -14,8 +14,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # no Python call stack per column expression: wide reports build several hundred of them
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 ROCKSDB_PROVIDER = (

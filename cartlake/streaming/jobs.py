@@ -118,28 +118,36 @@ def change_feed_stream(
     tails: str,
     checkpoint: str,
     hot_rows: int = HOT_ROWS,
+    full_every: int = 20,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Old and new image of every change, across batches.
 
     Batches arrive in order of time. Each batch is joined to the last image of its own keys and
-    then leaves its last images behind; only the keys of the batch are looked up.
+    then leaves last images behind: every ``full_every``-th batch those of all keys, the others
+    those of their own keys. A batch so reads one full set and the few folders after it.
     """
     keep = list(dict.fromkeys([key, time, sequence, *columns]))
 
+    def last_images(spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame:
+        newest_full = (batch_id - 1) // full_every * full_every
+        past = read_log(spark, tails, schema).filter(F.col(BATCH).between(newest_full, batch_id - 1))
+        return past.select(*keep)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(*keep).withColumn("_new", F.lit(True))
-        rows = batch
-        log = T.StructType([f for f in batch.schema.fields if f.name != "_new"])
+        batch = batch.select(*keep)
+        rows, known = batch.withColumn("_new", F.lit(True)), batch
         if batch_id > 0:
-            past = read_log(spark, tails, log).filter(F.col(BATCH) < batch_id)
+            past = last_images(spark, batch_id, batch.schema)
             mine = past.join(batch.select(key).distinct(), key, "left_semi")
-            before = latest_per_key(mine, [key], [BATCH, time, sequence]).drop(BATCH)
-            rows = batch.unionByName(before.select(*keep).withColumn("_new", F.lit(False)))
+            before = latest_per_key(mine, [key], [time, sequence]).select(*keep)
+            rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
+            if batch_id % full_every == 0:
+                known = batch.unionByName(past)
         fed = state.change_feed(rows, key, time, sequence, columns, hot_rows).filter("_new").drop("_new")
         fed.write.mode("overwrite").parquet(f"{feed}/{BATCH}={batch_id}")
-        last = latest_per_key(batch.drop("_new"), [key], [time, sequence])
+        last = latest_per_key(known, [key], [time, sequence])
         last.write.mode("overwrite").parquet(f"{tails}/{BATCH}={batch_id}")
 
     return _start(versions, checkpoint, write, "append", trigger or {"availableNow": True})
