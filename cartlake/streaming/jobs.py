@@ -136,7 +136,8 @@ def change_feed_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(*keep)
+        # used by several branches below; kept so that the source is read once
+        batch = batch.select(*keep).persist()
         rows, known = batch.withColumn("_new", F.lit(True)), batch
         if batch_id > 0:
             past = last_images(spark, batch_id, batch.schema)
@@ -149,6 +150,7 @@ def change_feed_stream(
         fed.write.mode("overwrite").parquet(f"{feed}/{BATCH}={batch_id}")
         last = latest_per_key(known, [key], [time, sequence])
         last.write.mode("overwrite").parquet(f"{tails}/{BATCH}={batch_id}")
+        batch.unpersist()
 
     return _start(versions, checkpoint, write, "append", trigger or {"availableNow": True})
 
