@@ -6,10 +6,16 @@ from pyspark.sql import functions as F
 
 from cartlake.catalog.registry import plain, query, table
 from cartlake.operators import curated
+from cartlake.operators.skew import hot_keys, salted_join
 
 SUBSCRIBERS = ["BUILDING", "HOUSEHOLD"]
 
 
+def hot_customers(spark, sf):
+    """Counted on the key column alone, once for every step that needs it."""
+    return hot_keys(table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id")), ["customer_id"])
+
+
 def orders(spark, sf, discounts: bool = False):
     """Orders under the names of the enriched table; cohort is the month of the first order."""
     o = table(spark, sf, "orders").select(
@@ -20,7 +26,7 @@ def orders(spark, sf, discounts: bool = False):
         F.col("o_totalprice").cast("decimal(18,2)").alias("total_price"),
         F.col("o_orderpriority").alias("source_name"),
     )
-    o = o.join(curated.acquisition(o), "customer_id")
+    o = curated.with_acquisition(o, hot=hot_customers(spark, sf))
     if discounts:
         lines = (
             table(spark, sf, "lineitem")
@@ -38,7 +44,7 @@ def orders(spark, sf, discounts: bool = False):
 def with_customer(spark, sf, o):
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
-    places = F.broadcast(nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customers = (
         table(spark, sf, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -49,7 +55,7 @@ def with_customer(spark, sf, o):
             F.col("r_name").alias("shipping_country"),
         )
     )
-    return o.join(customers, "customer_id")
+    return salted_join(o, customers, ["customer_id"], hot=hot_customers(spark, sf))
 
 
 _O = """o AS (
@@ -142,7 +148,7 @@ def discount_impact(spark, sf):
 SELECT order_id, customer_id, rebill_number FROM s""",
 )
 def rebill_number(spark, sf):
-    rows = curated.with_rebill_number(with_customer(spark, sf, orders(spark, sf)))
+    rows = curated.with_rebill_number(with_customer(spark, sf, orders(spark, sf)), hot=hot_customers(spark, sf))
     return rows.select("order_id", "customer_id", "rebill_number")
 
 
@@ -154,7 +160,7 @@ SELECT {_MONTH} AS cohort_month, rebill_number, count(DISTINCT customer_id) AS a
 FROM s GROUP BY 1, 2""",
 )
 def retention_curve(spark, sf):
-    rows = curated.subscription_orders(with_customer(spark, sf, orders(spark, sf)))
+    rows = curated.subscription_orders(with_customer(spark, sf, orders(spark, sf)), hot_customers(spark, sf))
     return plain(curated.retention_curve(rows))
 
 

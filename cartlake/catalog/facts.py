@@ -1,8 +1,7 @@
 """The driver's events as warehouse facts, in DataFrame form and as SQL.
 
 Purchases and errors are orders and refunds, clicks and views are ad rows. A customer's region
-gives the country, so events meet customer, nation and region; nation and region have a fixed
-handful of rows.
+gives the country, so events meet customer, nation and region.
 """
 
 from __future__ import annotations
@@ -16,15 +15,17 @@ from cartlake.operators import kpi
 
 STORE_ZONE = "America/Chicago"
 ACCOUNTS = {"acct_3": "UK", "acct_5": "AU"}
-DIMENSION_ROWS = 1000
 
 
 def with_region_name(spark: SparkSession, sf: str, events: DataFrame) -> DataFrame:
-    """Events with the name of their customer's region; AQE sizes the customer join."""
+    """Events with the name of their customer's region.
+
+    No join is hinted: Spark broadcasts a side it has measured to be small, else both sides of
+    the customer join come out of a shuffle and AQE splits a hot user.
+    """
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf, "region").select("r_regionkey", "r_name")
-    # a nation list is bounded by the world; the limit on top makes the bound explicit
-    places = F.broadcast(nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     located = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
     return events.join(located, F.col("user_id") == F.col("c_custkey"))

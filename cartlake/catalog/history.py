@@ -56,7 +56,7 @@ def window_overlap_dedupe(spark, sf):
 
 
 def _erasure(spark, sf):
-    requests = table(spark, sf, "customer").filter(F.col("c_custkey") % 10 == 0).select("c_custkey")
+    requests = table(spark, sf, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey")
     tables = {
         "customer": (table(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey"),
         "orders": (table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey"),
@@ -65,7 +65,7 @@ def _erasure(spark, sf):
     return backfill.erase(tables, requests, "c_custkey")
 
 
-_ERASED = "(SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)"
+_ERASED = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
 
 
 @query(

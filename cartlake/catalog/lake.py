@@ -158,16 +158,16 @@ def bulk_snapshot(spark, sf):
 @query(
     "combine_sources",
     """SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'event' ELSE 'snapshot' END AS origin,
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS total_price
+  CASE WHEN o_orderstatus = 'F' THEN 'event' ELSE 'snapshot' END AS origin,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS total_price
 FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 def combine_sources(spark, sf):
-    """Snapshot rows and later events of every second order, newest kept."""
+    """Snapshot rows and later events of finished orders, newest kept."""
     snapshots = state.normalise_snapshot(_snapshot(spark, sf)).withColumn("origin", F.lit("snapshot"))
     events = (
         table(spark, sf, "orders")
-        .filter(F.col("o_orderkey") % 2 == 0)
+        .filter(F.col("o_orderstatus") == "F")
         .select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.date_format(F.col("o_orderdate") + F.expr("interval 1 day"), ISO).alias("updated_at"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.operators.ranking import HOT_ROWS, split_row_number, time_levels
+from cartlake.operators.ranking import split_row_number, time_levels
+from cartlake.operators.skew import HOT_ROWS, salted_join
 
 
 def cohort_month(created: Column) -> Column:
@@ -20,7 +21,7 @@ def days_since_acquisition(orders: DataFrame) -> DataFrame:
     )
 
 
-def with_rebill_number(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_rebill_number(orders: DataFrame, hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Which cycle of the customer's subscription an order is, by (created_at, order_id)."""
     return split_row_number(
         orders.filter("is_subscription"),
@@ -29,6 +30,7 @@ def with_rebill_number(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
         ["created_at", F.col("order_id").cast("bigint")],
         "rebill_number",
         hot_rows,
+        hot,
     )
 
 
@@ -37,6 +39,11 @@ def acquisition(orders: DataFrame) -> DataFrame:
     return orders.groupBy("customer_id").agg(F.min("created_at").alias("customer_created_at"))
 
 
+def with_acquisition(orders: DataFrame, hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
+    """Orders with the first order date of their customer, for sources that do not carry it."""
+    return salted_join(orders, acquisition(orders), ["customer_id"], hot_rows=hot_rows, hot=hot)
+
+
 def churn_by_cohort(orders: DataFrame) -> DataFrame:
     """Share of a cohort's subscribers with a cancelled order."""
     cancelled = F.when(F.col("cancelled_at").isNotNull(), F.col("customer_id"))
@@ -118,8 +125,8 @@ def churn_metrics(orders: DataFrame, metric_date: Column) -> DataFrame:
     return churn_by_cohort(orders).withColumn("metric_date", metric_date)
 
 
-def subscription_orders(orders: DataFrame) -> DataFrame:
+def subscription_orders(orders: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Subscription orders with their cohort and cycle, the input of the retention curve."""
-    return with_rebill_number(orders).withColumn(
+    return with_rebill_number(orders, hot=hot).withColumn(
         "cohort_month", cohort_month(F.col("customer_created_at"))
     )

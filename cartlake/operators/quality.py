@@ -35,17 +35,26 @@ def expected_hours(keys: DataFrame, as_of: Column, hours: int) -> DataFrame:
 
 
 def hourly_gaps(
-    events: DataFrame, as_of: Column, hours: int = WINDOW_HOURS, time: str = "ts", by: str | None = None
+    events: DataFrame,
+    as_of: Column,
+    hours: int = WINDOW_HOURS,
+    time: str = "ts",
+    by: str | None = None,
+    lookback_days: int = 30,
 ) -> DataFrame:
     """FAIL with the list of empty hours, else PASS.
 
     The events are reduced to the hours seen in the window before they meet the grid, which has
-    ``hours`` rows per series. A series is reported if it has any event at all.
+    ``hours`` rows per series. A series is expected if it had an event in the last
+    ``lookback_days``; both bounds are on the raw time, so older data is not read.
     """
-    spark = events.sparkSession
-    series = events.select(F.col(by).alias("series")).distinct() if by else spark.range(1).select(F.lit("all").alias("series"))
-    key = F.col(by) if by else F.lit("all")
     start = tu.hour_of(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours - 1))
+    if by:
+        known = events.filter(F.col(time) >= tu.hour_of(as_of) - F.make_dt_interval(F.lit(lookback_days)))
+        series = known.select(F.col(by).alias("series")).distinct()
+    else:
+        series = events.sparkSession.range(1).select(F.lit("all").alias("series"))
+    key = F.col(by) if by else F.lit("all")
     seen = (
         events.filter(F.col(time) >= start)
         .select(key.alias("series"), tu.hour_of(F.col(time)).alias("hour"))
@@ -77,24 +86,23 @@ def count_anomaly(
     """Last full hour against the mean of an hour over the days before.
 
     ``align_hours`` compares like with like; without it the earlier days use the hour after the
-    one under test. Days without events count as 0. Only the needed hours are counted.
+    one under test. Days without events count as 0. Only the days in question are read; a series
+    without any event in them is not reported.
     """
     tested = tu.hour_of(as_of) - F.expr("interval 1 hour")
     anchor = tested if align_hours else tu.hour_of(as_of)
     hour = tu.hour_of(F.col(time))
-    current = hour == tested
-    earlier = F.lit(False)
-    for back in range(1, days + 1):
-        earlier = earlier | (hour == anchor - F.make_dt_interval(F.lit(back)))
-    key = F.col(by) if by else F.lit("all")
-    # a bound on the raw column reaches the scan, the exact hours are picked above it
-    low = anchor - F.make_dt_interval(F.lit(days))
-    high = tu.hour_of(as_of) + F.expr("interval 1 hour")
-    in_range = (F.col(time) >= low) & (F.col(time) < high)
-    counts = events.groupBy(key.alias("series")).agg(
-        F.count(F.when(in_range & current, 1)).alias("current_count"),
-        F.count(F.when(in_range & earlier, 1)).alias("_earlier"),
-    )
+    back = [anchor - F.make_dt_interval(F.lit(d)) for d in range(1, days + 1)]
+    low, high = back[-1], tu.hour_of(as_of) + F.expr("interval 1 hour")
+    read = events.filter((F.col(time) >= low) & (F.col(time) < high))
+    wanted = [
+        F.count(F.when(hour == tested, 1)).alias("current_count"),
+        F.count(F.when(hour.isin(*back), 1)).alias("_earlier"),
+    ]
+    if by:
+        counts = read.groupBy(F.col(by).alias("series")).agg(*wanted)
+    else:
+        counts = read.agg(*wanted).withColumn("series", F.lit("all"))
     average = F.col("_earlier") / F.lit(float(days))
     threshold = average * F.lit(ratio)
     ok = (average == 0) | (F.col("current_count") >= threshold)

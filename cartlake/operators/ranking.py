@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartlake.operators.skew import HOT_ROWS, hot_keys
+
 # 2^20 consecutive ids per cell: as ids are unique, no finest cell can hold more rows.
 ID_BLOCK_BITS = 20
-# A key with more rows than this is hot. A table of n rows has fewer than n / HOT_ROWS hot keys,
-# which bounds the broadcast of their list: half a million keys for 10^12 rows.
-HOT_ROWS = 2_000_000
 
 
 def id_block(col: Column, bits: int = ID_BLOCK_BITS) -> Column:
@@ -60,15 +59,13 @@ def most_frequent(df: DataFrame, keys: list[str], column: str, extra: list[Colum
     return counted.groupBy(*keys).agg(pick.alias(column), *(extra or []))
 
 
-def _cells(df: DataFrame, keys: list[str], levels: list[Column], hot_rows: int) -> tuple[DataFrame, list[str]]:
+def _cells(
+    df: DataFrame, keys: list[str], levels: list[Column], hot_rows: int, hot: DataFrame | None
+) -> tuple[DataFrame, list[str]]:
     """Rows with their cell: the levels for a hot key, one common cell for any other."""
     names = [f"_cell{i}" for i in range(len(levels))]
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    known = hot if hot is not None else hot_keys(df, keys, hot_rows)
+    hot = known.select(*keys, F.lit(True).alias("_hot"))
     tagged = df.join(F.broadcast(hot), keys, "left")
     cells = {n: F.when(F.col("_hot"), v).otherwise(F.lit(0).cast("bigint")) for n, v in zip(names, levels)}
     return tagged.withColumns(cells), names
@@ -86,10 +83,11 @@ def split_row_number(
     order: list[Column | str],
     name: str,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number`` per key, hot keys cut into ``levels``; rows without a key get NULL."""
     known, unknown = _split_null_keys(df, keys)
-    staged, cells = _cells(known, keys, levels, hot_rows)
+    staged, cells = _cells(known, keys, levels, hot_rows, hot)
     leaf = keys + cells
     totals = staged.filter("_hot").groupBy(*leaf).agg(F.count(F.lit(1)).alias("_n"))
     offsets = totals.withColumn("_before", F.lit(0).cast("bigint"))
@@ -117,10 +115,11 @@ def split_lag(
     columns: list[str],
     name: str,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Struct of ``columns`` of the previous row of the key, NULL on the first row."""
     known, unknown = _split_null_keys(df, keys)
-    staged, cells = _cells(known, keys, levels, hot_rows)
+    staged, cells = _cells(known, keys, levels, hot_rows, hot)
     leaf = keys + cells
     image, rank = F.struct(*columns), F.struct(*order)
     tails = staged.filter("_hot").groupBy(*leaf).agg(F.max_by(image, rank).alias("_tail"), F.max(rank).alias("_rank"))

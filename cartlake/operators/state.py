@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.operators.ranking import HOT_ROWS, latest_per_key, split_lag, time_levels
+from cartlake.operators.ranking import latest_per_key, split_lag, time_levels
+from cartlake.operators.skew import HOT_ROWS
 
 # Keys of the state tables, and the columns they are looked up by.
 STATE_KEYS = {

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartlake.operators import alerts, envelope, state
-from cartlake.operators.ranking import HOT_ROWS, latest_per_key
+from cartlake.operators.ranking import latest_per_key
+from cartlake.operators.skew import HOT_ROWS
 from cartlake.sinks.writers import write_quarantine
 
 BATCH = "_batch"
@@ -75,7 +76,8 @@ def land_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        envelopes = envelope.extract_payload(batch)
+        # both sinks below read it; kept so that the source is read once
+        envelopes = envelope.extract_payload(batch).persist()
         good, bad = envelope.split_quarantine(envelopes)
         staged = envelope.landing_partitions(good).withColumns(
             {"entity": envelope.route_entity(F.col("event_type")), "batch": F.lit(batch_id)}
@@ -91,6 +93,7 @@ def land_stream(
             .json(path)
         )
         bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        envelopes.unpersist()
 
     return _start(events, checkpoint, write, "append", trigger or {"availableNow": True})
 

@@ -128,3 +128,15 @@ def test_erasure(spark):
     kept, audit = backfill.erase({"t": (table, "customer")}, requests, "c")
     assert kept["t"].filter("customer = 1").count() == 0 and kept["t"].count() == 15
     assert [tuple(r) for r in audit.collect()] == [("t", 5)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot_rows", [1, 40, 10**6])
+def test_salted_join_is_a_plain_join(spark, how, hot_rows):
+    from cartlake.operators.skew import salted_join
+
+    many = spark.createDataFrame(versions(), SCHEMA)
+    one = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z"), (99, "q")], "key bigint, name string")
+    got = salted_join(many, one, ["key"], how, hot_rows).select("seq", "name").collect()
+    want = many.join(one, "key", how).select("seq", "name").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
