@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from cartlake.catalog import alerting
 from cartlake.catalog.registry import ORACLES, TABLES, plain, props_k, query
+from cartlake.operators.ranking import latest_per_key
 from cartlake.session import shared_dir, streaming_session
 from cartlake.sources import readers
-from cartlake.streaming import jobs
+from cartlake.streaming import expiry, jobs
 
 
 def stream_events(session, sf):
@@ -89,6 +90,24 @@ def stream_change_feed(spark, sf):
     )
 
 
+@query(
+    "stream_state_ttl",
+    """WITH l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, event_type FROM l
+WHERE rn = 1 AND epoch_ms(ts) + 86400000 > (SELECT epoch_ms(max(ts)) - 3600000 FROM events)""",
+)
+def stream_state_ttl(spark, sf):
+    """Latest event per user, gone a day after it; what is alive when the stream has been read."""
+    s = _session(spark)
+    path = shared_dir(spark, "expiring")
+    expiry.expiring_state_stream(
+        stream_events(s, sf), "user_id", "ts", "event_id", 86400, ["event_type"], path, shared_dir(spark, "ckpt")
+    ).awaitTermination()
+    log = spark.read.parquet(path)
+    last = latest_per_key(log, ["key"], ["_batch", "version", "sequence"]).filter(F.col("op") == expiry.UPSERT)
+    return last.select(F.col("key").alias("user_id"), F.col("sequence").alias("event_id"), "event_type")
+
+
 @query(
     "stream_landing",
     """SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'signup' THEN 'customers' ELSE 'other' END AS entity,

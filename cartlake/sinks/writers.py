@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from cartlake import schemas
 from cartlake.operators.envelope import landing_partitions
+from cartlake.sources.readers import path_exists
 
 KPI_PARTITIONS = ["year", "month", "day", "region"]
 KPI_HOUR_PARTITIONS = ["year", "month", "day", "hour", "region"]
@@ -205,3 +206,40 @@ def define_table(
 def partition_values(spark: SparkSession, name: str) -> DataFrame:
     """Partitions a table knows, from the catalog alone."""
     return spark.sql(f"SHOW PARTITIONS {name}")
+
+
+def define_lake_tables(spark: SparkSession, root: str, database: str = "default") -> list[str]:
+    """Raw order events, processed orders and curated subscription orders as tables.
+
+    A part of the lake that does not exist yet is left out.
+    """
+    raw = T.StructType([*schemas.ENVELOPE.fields, T.StructField("hour", T.StringType()), T.StructField("date", T.StringType())])
+    parts = {
+        "raw_order_events": ("raw/entity=orders", raw, ["date", "hour"], "json"),
+        "processed_orders": ("processed/orders_enriched", None, ["date"], "parquet"),
+        "subscription_orders": ("curated/subscription_orders", None, ["subscription_type", "date"], "parquet"),
+    }
+    made = []
+    for name, (folder, schema, partitions, file_format) in parts.items():
+        path = f"{root.rstrip('/')}/{folder}"
+        if path_exists(spark, path):
+            known = schema if schema is not None else spark.read.parquet(path).schema
+            define_table(spark, f"{database}.{name}", known, partitions, path, file_format)
+            made.append(name)
+    return made
+
+
+def purge_expired(spark: SparkSession, path: str, before: str, dry_run: bool = True) -> list[str]:
+    """Drop the ``date=`` folders older than a day; a dry run only lists them.
+
+    Only folder names are looked at: one entry per date, whatever the size of the data.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    old = [p for p in found if p.getName().startswith("date=") and p.getName()[5:] < before]
+    if not dry_run:
+        for folder in old:
+            fs.delete(folder, True)
+    return sorted(p.getName() for p in old)

@@ -123,3 +123,20 @@ def test_clock_columns_have_no_zone(spark, folder):
     kpi_refresh.refresh(orders, ads, date(2024, 3, 9), date(2024, 3, 9), "UTC", folder + "/k")
     assert isinstance(spark.read.parquet(folder + "/k").first().timestamp_utc, datetime)
     assert dict(spark.read.parquet(folder + "/k").dtypes)["timestamp_utc"] == "timestamp_ntz"
+
+
+def test_lake_tables_and_purge(spark, folder):
+    assert writers.define_lake_tables(spark, folder) == []
+    rows = envelopes(spark, [{"id": 1}, {"id": 2}])
+    writers.land_raw(rows, folder + "/raw", F.lit("orders"))
+    orders = spark.createDataFrame([(1,), (2,)], "order_id int")
+    for day in ("2024-01-01", "2024-01-02"):
+        writers.write_orders(orders, folder + "/processed/orders_enriched", day)
+    assert writers.define_lake_tables(spark, folder) == ["raw_order_events", "processed_orders"]
+    assert spark.table("raw_order_events").filter("date = '2025-10-03' AND hour = '16'").count() == 2
+    assert spark.table("processed_orders").count() == 4
+    path = folder + "/processed/orders_enriched"
+    assert writers.purge_expired(spark, path, "2024-01-02") == ["date=2024-01-01"]
+    assert spark.read.parquet(path).count() == 4
+    writers.purge_expired(spark, path, "2024-01-02", dry_run=False)
+    assert spark.read.parquet(path).count() == 2

@@ -112,3 +112,20 @@ def test_landing(spark, folder):
     assert sorted(r.reason for r in bad.collect()) == ["empty_payload", "malformed_json"]
     still, rest = jobs.replay_quarantine(bad, lambda df: df.withColumn("data", F.coalesce("data", F.lit("{}"))), folder + "/again")
     assert still.count() == 0 and rest.count() == 2
+
+
+def test_expiry(spark, folder):
+    from cartlake.streaming import expiry
+
+    start = datetime(2024, 1, 1)
+    rows = [(i, i % 3, start + timedelta(hours=i), f"k{i}") for i in range(12)]
+    parts = [[*rows[:6], (100, 9, start, "old")], rows[6:], [(200, 1, start + timedelta(days=8), "late")]]
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder + "/in")
+    stream = readers.stream_files(streaming_session(spark, 2), folder + "/in", SCHEMA, "parquet", files_per_trigger=1)
+    expiry.expiring_state_stream(
+        stream, "user_id", "ts", "event_id", 86400, ["kind"], folder + "/out", folder + "/c", "10 minutes"
+    ).awaitTermination()
+    got = {(r.key, r.kind, r.op) for r in spark.read.parquet(folder + "/out").collect()}
+    assert {g for g in got if g[2] == "expired"} == {("0", "k9", "expired"), ("2", "k11", "expired"), ("9", "old", "expired")}
+    assert ("1", "late", "upsert") in got and ("0", "k3", "upsert") in got
