@@ -22,6 +22,7 @@ TOTAL_SOURCES = ["TOTAL", "ALL", ""]
 # --- end of fixed values ---
 
 AD_KEYS = ["spend_hour", "channel", "account_id", "campaign_name", "adset_name"]
+AD_TEXTS = ["currency", *schemas.ADVISORY_TEXTS]
 
 
 def _clock(value: datetime) -> Column:
@@ -75,30 +76,46 @@ def _active_ads(ads: DataFrame, start: datetime | None, end: datetime | None) ->
     )
 
 
-def ads_hourly(ads: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
-    """Ad facts by (hour, channel, account, campaign, ad set): sums, means, frequent texts (A2, A4, A5).
-
-    Two branches, one over the numbers and one over the texts; each scan reads its own columns.
-    Texts are counted per (group, field, value) before the winner is picked, so the distinct texts
-    of a group are never in one task's memory. Both branches end partitioned by the group, kept as
-    one struct: they join in place, and a null in a key matches a null.
-    """
-    rows = _active_ads(ads, start, end)
-    sums = rows.groupBy("_key").agg(
+def _ad_sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("_key").agg(
         *[F.expr(f"{num.exact_total(c)} AS {c}") for c in schemas.AD_SUMS],
         *[F.expr(f"try_divide({num.exact_total(c)}, count({c})) AS {c}") for c in schemas.SEARCH_SHARES],
     )
-    names = ["currency", *schemas.ADVISORY_TEXTS]
-    pairs = ", ".join(f"struct('{c}' AS field, {c} AS value)" for c in names)
+
+
+def _ad_texts(rows: DataFrame) -> DataFrame:
+    pairs = ", ".join(f"struct('{c}' AS field, {c} AS value)" for c in AD_TEXTS)
     counted = (
         rows.select("_key", F.expr(f"inline(filter(array({pairs}), r -> r.value IS NOT NULL))"))
         .groupBy("_key", "field", "value")
         .agg(F.expr("count(1) AS votes"))
     )
-    texts = counted.groupBy("_key").agg(
-        *[F.expr(f"min_by(value, if(field = '{c}', struct(-votes, value), NULL)) AS {c}") for c in names]
+    return counted.groupBy("_key").agg(
+        *[F.expr(f"min_by(value, if(field = '{c}', struct(-votes, value), NULL)) AS {c}") for c in AD_TEXTS]
     )
-    return sums.join(texts, "_key", "left").select("_key.*", *sums.columns[1:], *names)
+
+
+def ads_hourly_sums(ads: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Sums and means per (hour, channel, account, campaign, ad set), without the texts."""
+    return _ad_sums(_active_ads(ads, start, end)).select("_key.*", *schemas.AD_SUMS, *schemas.SEARCH_SHARES)
+
+
+def ads_hourly_texts(ads: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Most frequent currency and advisory texts of the same groups (A4)."""
+    return _ad_texts(_active_ads(ads, start, end)).select("_key.*", *AD_TEXTS)
+
+
+def ads_hourly(ads: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Ad facts by (hour, channel, account, campaign, ad set): sums, means, frequent texts (A2, A4, A5).
+
+    Two branches, one over the numbers and one over the texts; each scan reads its own columns.
+    Texts are counted per (group, field, value) before the winner is picked, so the distinct texts
+    of a group are never in one task's memory. Both branches end partitioned by the group, kept as
+    one struct: they join in place, and a null in a key matches a null.
+    """
+    rows = _active_ads(ads, start, end)
+    both = _ad_sums(rows).join(_ad_texts(rows), "_key", "left")
+    return both.select("_key.*", *schemas.AD_SUMS, *schemas.SEARCH_SHARES, *AD_TEXTS)
 
 
 def hourly_region_metrics(
@@ -106,49 +123,77 @@ def hourly_region_metrics(
     ad_hours: DataFrame,
     store_zone: str,
     account_regions: dict[str, str] | DataFrame | None = None,
+    ad_texts: DataFrame | None = None,
 ) -> DataFrame:
     """Both fact sides on (region, UTC hour), a key on either side makes a row.
 
-    Union and one aggregate: partial sums meet in a single shuffle, where a full outer join
-    would need one per side.
+    Orders and ads are united and aggregated once, where a full outer join would shuffle each.
+    Numbers go through a hash aggregate. Currency and texts need sorted aggregation, so they take
+    a narrow branch of their own and meet the sums when both are down to one row per hour.
+    ``ad_texts`` may give the texts apart from ``ad_hours``.
     """
     orders = (
         order_hours.withColumn("region", regions.region_of_country(F.col("shipping_country_code")))
         .filter(F.col("region").isNotNull())
-        .select(
-            "region",
-            tu.store_to_utc(F.col("order_hour"), store_zone).alias("timestamp_utc"),
-            F.expr("nullif(currency, '') AS currency"),
-            F.expr("if(nullif(currency, '') IS NULL, NULL, shipping_country_code) AS currency_rank"),
-            *schemas.ORDER_METRICS,
-        )
+        .withColumn("timestamp_utc", tu.store_to_utc(F.col("order_hour"), store_zone))
     )
-    ads = regions.with_ad_region(ad_hours, account_regions).select(
-        "region",
-        tu.store_to_utc(F.col("spend_hour"), store_zone).alias("timestamp_utc"),
+    placed = lambda df: regions.with_ad_region(df, account_regions).withColumn(
+        "timestamp_utc", tu.store_to_utc(F.col("spend_hour"), store_zone)
+    )
+    key = ["region", "timestamp_utc"]
+    ad_numbers = placed(ad_hours).select(
+        *key,
         *[F.expr(f"if(channel = '{ch}', spend, 0D) AS {c}") for ch, c in CHANNELS.items()],
         *schemas.AD_COUNTS,
         *schemas.SEARCH_IMPRESSIONS,
         *[F.expr(f"coalesce({c}, 0D) * impressions AS {c}") for c in schemas.SEARCH_SHARES],
-        F.struct(*AD_KEYS[1:]).alias("text_rank"),
-        *[F.expr(f"nullif({c}, '') AS {c}") for c in schemas.ADVISORY_TEXTS],
     )
-    grouped = (
-        orders.unionByName(ads, allowMissingColumns=True)
-        .groupBy("region", "timestamp_utc")
+    sums = (
+        orders.select(*key, *schemas.ORDER_METRICS)
+        .unionByName(ad_numbers, allowMissingColumns=True)
+        .groupBy(*key)
         .agg(
-            F.expr(f"coalesce(max_by(currency, currency_rank), '{DEFAULT_CURRENCY}') AS currency"),
             *[F.expr(f"{num.exact_total(c)} AS {c}") for c in schemas.HOURLY_SUMS],
             *[F.expr(f"{num.exact_total(c, num.WEIGHT)} AS {c}") for c in schemas.SEARCH_SHARES],
-            *[
-                F.expr(f"coalesce(min_by({c}, if({c} IS NULL, NULL, text_rank)), '') AS {c}")
-                for c in schemas.ADVISORY_TEXTS
-            ],
         )
     )
-    share = {c: f"if(impressions > 0, {c} / impressions, 0D) AS {c}" for c in schemas.SEARCH_SHARES}
-    whole = {"new_customer_orders": "cast(bround(new_customer_orders) AS bigint) AS new_customer_orders"}
-    return grouped.selectExpr(*[(share | whole).get(c, c) for c in schemas.HOURLY_METRICS.names])
+    currency = orders.filter("currency <> ''").select(*key, "currency", F.col("shipping_country_code").alias("country"))
+    advice = placed(ad_hours if ad_texts is None else ad_texts).select(
+        *key,
+        F.struct(*AD_KEYS[1:]).alias("text_rank"),
+        *[F.expr(f"nullif({c}, '') AS {c}") for c in schemas.ADVISORY_TEXTS],
+    )
+    texts = (
+        currency.unionByName(advice, allowMissingColumns=True)
+        .groupBy(*key)
+        .agg(
+            F.expr("max_by(currency, country) AS currency"),
+            *[F.expr(f"min_by({c}, if({c} IS NULL, NULL, text_rank)) AS {c}") for c in schemas.ADVISORY_TEXTS],
+        )
+    )
+    shown = {c: f"if(impressions > 0, {c} / impressions, 0D) AS {c}" for c in schemas.SEARCH_SHARES}
+    shown |= {c: f"coalesce({c}, '') AS {c}" for c in schemas.ADVISORY_TEXTS}
+    shown["currency"] = f"coalesce(currency, '{DEFAULT_CURRENCY}') AS currency"
+    shown["new_customer_orders"] = "cast(bround(new_customer_orders) AS bigint) AS new_customer_orders"
+    return sums.join(texts, key, "left").selectExpr(*[shown.get(c, c) for c in schemas.HOURLY_METRICS.names])
+
+
+def metrics_from_facts(
+    orders: DataFrame,
+    ads: DataFrame,
+    store_zone: str,
+    account_regions: dict[str, str] | DataFrame | None = None,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """Hourly metrics straight from the facts; sums and texts of the ads never have to be joined."""
+    return hourly_region_metrics(
+        orders_hourly(orders, start, end),
+        ads_hourly_sums(ads, start, end),
+        store_zone,
+        account_regions,
+        ads_hourly_texts(ads, start, end),
+    )
 
 
 _SPEND = "(meta_spend + google_spend)"

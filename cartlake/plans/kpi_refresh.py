@@ -34,9 +34,7 @@ def metrics_between(
 ) -> DataFrame:
     """Hourly metrics from the facts a range of local dates can need."""
     low, high = store_bounds(start, end, store_zone)
-    return kpi.hourly_region_metrics(
-        kpi.orders_hourly(orders, low, high), kpi.ads_hourly(ads, low, high), store_zone, account_regions
-    )
+    return kpi.metrics_from_facts(orders, ads, store_zone, account_regions, low, high)
 
 
 def hourly_between(orders, ads, start: date, end: date, store_zone: str, account_regions=None) -> DataFrame:

@@ -203,7 +203,10 @@ def test_metrics_merge_brute_force_and_row_order(spark):
         hourly = kpi.hourly_region_metrics(
             kpi.orders_hourly(orders_fact(spark, o)), kpi.ads_hourly(ads_fact(spark, a)), "UTC", {"b": "CA"}
         )
-        return sorted(hourly.collect(), key=lambda r: (r.region, r.timestamp_utc))
+        direct = kpi.metrics_from_facts(orders_fact(spark, o), ads_fact(spark, a), "UTC", {"b": "CA"})
+        key = lambda r: (r.region, r.timestamp_utc)
+        assert sorted(direct.collect(), key=key) == sorted(hourly.collect(), key=key)
+        return sorted(hourly.collect(), key=key)
 
     first = run(orders, ads)
     want = defaultdict(lambda: dict(total_sales=0.0, meta=0.0, google=0.0, impressions=0.0, weighted=0.0))
