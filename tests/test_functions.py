@@ -53,6 +53,17 @@ def test_ad_region_account_then_keywords_then_default(spark):
     assert dict(map(tuple, got))["act_123"] == "UK"
 
 
+def test_region_of_text_is_the_token_rule(spark):
+    rng = random.Random(6)
+    words = ["AU", "au", "aus", "GB", "uk", "CA", "Can", "USA", "us", "xAU", "AUx", "é", "AUé", "1", "CA1", "united", "UnitedKingdom"]
+    rows = [("".join(rng.choice(words) + rng.choice([" ", "-", "_", "", ".", "/"]) for _ in range(5)), rng.choice(words + [None, ""])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    cols = [F.col("a"), F.col("b")]
+    for r in df.select(regions.region_of_text(cols).alias("r"), regions.ad_tokens(*cols).alias("t")).collect():
+        hits = [k for k, v in regions.REGION_KEYWORDS.items() if set(v) & set(r.t)]
+        assert r.r == (hits[0] if hits else None)
+
+
 @pytest.mark.parametrize(
     "clock, utc",
     [
