@@ -34,36 +34,26 @@ def with_region_name(spark: SparkSession, sf: str, events: DataFrame) -> DataFra
 def orders_fact(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").filter(F.col("event_type").isin("purchase", "error"))
     e = with_region_name(spark, sf, events).withColumn("k", props_k())
-    k, v = F.col("k"), F.col("value")
-    bought = F.col("event_type") == "purchase"
-    country = (
-        F.when(F.col("r_name") == "AMERICA", "US")
-        .when(F.col("r_name") == "AFRICA", "CA")
-        .when(F.col("r_name") == "EUROPE", F.when(k % 2 == 0, "GB").otherwise("UK"))
-        .when(F.col("r_name") == "ASIA", "AU")
-        .otherwise("AE")
-    )
-    currency = F.when(k % 10 == 0, F.lit(None)).when(k % 3 == 0, "USD").when(k % 3 == 1, "CAD").otherwise("GBP")
-    zone = F.when(k % 4 == 0, "").when(k % 4 == 1, "Europe/London").otherwise(STORE_ZONE)
-    sale = F.when(bought, v).otherwise(0.0)
-    part = lambda share: F.when(bought, F.floor(v * share) / 100.0).otherwise(0.0)
-    return e.select(
-        F.col("ts").alias("created_at"),
-        country.alias("shipping_country_code"),
-        currency.alias("currency"),
-        zone.alias("shop_timezone"),
-        sale.alias("order_revenue"),
-        F.when(bought, 1.0).otherwise(0.0).alias("orders_quantity"),
-        (k < 50).alias("is_new_customer"),
-        sale.alias("gross_sales"),
-        F.when(bought & (k % 2 == 0), v).otherwise(0.0).alias("gross_product_sales"),
-        F.when(bought, 0.0).otherwise(v).alias("refund_money"),
-        F.when(bought, k / 100.0).otherwise(0.0).alias("discount_amount"),
-        part(40).alias("cost_of_goods"),
-        part(5).alias("shipping_costs"),
-        part(6).alias("estimated_shipping_costs"),
-        part(1).alias("handling_fees"),
-        part(3).alias("payment_gateway_costs"),
+    bought = lambda value: f"if(event_type = 'purchase', {value}, 0D)"
+    part = lambda share: bought(f"floor(value * {share}) / 100D")
+    return e.selectExpr(
+        "ts AS created_at",
+        "CASE r_name WHEN 'AMERICA' THEN 'US' WHEN 'AFRICA' THEN 'CA' WHEN 'EUROPE' THEN if(k % 2 = 0, 'GB', 'UK') "
+        "WHEN 'ASIA' THEN 'AU' ELSE 'AE' END AS shipping_country_code",
+        "CASE WHEN k % 10 = 0 THEN NULL WHEN k % 3 = 0 THEN 'USD' WHEN k % 3 = 1 THEN 'CAD' ELSE 'GBP' END AS currency",
+        f"CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN 'Europe/London' ELSE '{STORE_ZONE}' END AS shop_timezone",
+        bought("value") + " AS order_revenue",
+        bought("1D") + " AS orders_quantity",
+        "k < 50 AS is_new_customer",
+        bought("value") + " AS gross_sales",
+        bought("if(k % 2 = 0, value, 0D)") + " AS gross_product_sales",
+        "if(event_type = 'error', value, 0D) AS refund_money",
+        bought("k / 100D") + " AS discount_amount",
+        part(40) + " AS cost_of_goods",
+        part(5) + " AS shipping_costs",
+        part(6) + " AS estimated_shipping_costs",
+        part(1) + " AS handling_fees",
+        part(3) + " AS payment_gateway_costs",
     )
 
 
@@ -73,53 +63,37 @@ SHARE_DIVISORS = [500.0, 1000.0, 2000.0, 1250.0, 2500.0, 625.0, 5000.0]
 def ads_fact(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").filter(F.col("event_type").isin("click", "view"))
     e = with_region_name(spark, sf, events).withColumn("k", props_k())
-    k, v, i = F.col("k"), F.col("value"), F.col("event_id")
-    click = F.col("event_type") == "click"
-    token = (
-        F.when(F.col("r_name") == "AMERICA", "USA")
-        .when(F.col("r_name") == "AFRICA", "can")
-        .when(F.col("r_name") == "EUROPE", "GB")
-        .when(F.col("r_name") == "ASIA", "AUS")
-        .otherwise("ZZ")
-    )
-    shares = {
-        name: F.when(k % 11 != 0, v / divisor) for name, divisor in zip(schemas.SEARCH_SHARES, SHARE_DIVISORS)
-    }
-    views = F.when(click, 0.0).otherwise(k.cast("double"))
-    counts = {
-        name: F.when(k % (n + 2) == 0, views).otherwise(0.0) for n, name in enumerate(schemas.SEARCH_IMPRESSIONS)
-    }
-    texts = {
-        "campaign_ai_recommendation": F.when(k < 30, F.col("props")),
-        "campaign_ai_roas_pacing": F.concat(F.lit("pace-"), (k % 3).cast("string")),
-        "adset_ai_recommendation": F.when(k % 2 == 0, "scale"),
-        "adset_ai_roas_pacing": F.concat(F.lit("p"), (k % 5).cast("string")),
-        "ad_ai_recommendation": F.col("event_type"),
-        "ad_ai_roas_pacing": F.lit(None).cast("string"),
-        "channel_ai_recommendation": F.when(i % 2 == 0, "hold").otherwise("grow"),
-        "channel_ai_roas_pacing": F.lit(""),
-    }
-    return e.select(
-        F.to_date("ts").alias("event_date"),
-        F.hour("ts").alias("event_hour"),
-        F.when(i % 2 == 0, "facebook-ads").otherwise("Google-Ads").alias("channel"),
-        F.concat(F.lit("acct_"), (F.col("user_id") % 7).cast("string")).alias("account_id"),
-        F.concat(F.lit("02_Prospecting_SCALE-"), token, F.lit("-CBO_Hero")).alias("campaign_name"),
-        F.concat(F.lit("set_"), (k % 4).cast("string")).alias("adset_name"),
-        F.when(k % 3 == 0, "USD").otherwise("CAD").alias("currency"),
-        F.lit("ACTIVE").alias("campaign_status"),
-        F.when(k % 23 == 0, "DELETED").otherwise("ACTIVE").alias("adset_status"),
-        F.when(k % 17 == 0, "PAUSED").otherwise("ACTIVE").alias("ad_status"),
-        F.when(click, v).otherwise(0.0).alias("spend"),
-        F.when(click & (k % 5 == 0), v).otherwise(0.0).alias("non_tracked_spend"),
-        views.alias("impressions"),
-        F.when(click, 1.0).otherwise(0.0).alias("clicks"),
-        F.when(click & (k % 7 == 0), 1.0).otherwise(0.0).alias("onsite_purchases"),
-        F.when(click & (k % 7 == 0), v).otherwise(0.0).alias("onsite_conversion_value"),
-        F.when(click & (k % 9 == 0), 1.0).otherwise(0.0).alias("meta_purchases"),
-        *[c.alias(n) for n, c in counts.items()],
-        *[c.alias(n) for n, c in shares.items()],
-        *[c.alias(n) for n, c in texts.items()],
+    click = lambda value: f"if(event_type = 'click', {value}, 0D)"
+    view = lambda when: f"if(event_type = 'view' AND {when}, cast(k AS double), 0D)"
+    return e.selectExpr(
+        "to_date(ts) AS event_date",
+        "hour(ts) AS event_hour",
+        "if(event_id % 2 = 0, 'facebook-ads', 'Google-Ads') AS channel",
+        "concat('acct_', user_id % 7) AS account_id",
+        "concat('02_Prospecting_SCALE-', CASE r_name WHEN 'AMERICA' THEN 'USA' WHEN 'AFRICA' THEN 'can' "
+        "WHEN 'EUROPE' THEN 'GB' WHEN 'ASIA' THEN 'AUS' ELSE 'ZZ' END, '-CBO_Hero') AS campaign_name",
+        "concat('set_', k % 4) AS adset_name",
+        "if(k % 3 = 0, 'USD', 'CAD') AS currency",
+        "'ACTIVE' AS campaign_status",
+        "if(k % 23 = 0, 'DELETED', 'ACTIVE') AS adset_status",
+        "if(k % 17 = 0, 'PAUSED', 'ACTIVE') AS ad_status",
+        click("value") + " AS spend",
+        click("if(k % 5 = 0, value, 0D)") + " AS non_tracked_spend",
+        view("true") + " AS impressions",
+        click("1D") + " AS clicks",
+        click("if(k % 7 = 0, 1D, 0D)") + " AS onsite_purchases",
+        click("if(k % 7 = 0, value, 0D)") + " AS onsite_conversion_value",
+        click("if(k % 9 = 0, 1D, 0D)") + " AS meta_purchases",
+        *[view(f"k % {n + 2} = 0") + f" AS {c}" for n, c in enumerate(schemas.SEARCH_IMPRESSIONS)],
+        *[f"if(k % 11 <> 0, value / {d}D, NULL) AS {c}" for c, d in zip(schemas.SEARCH_SHARES, SHARE_DIVISORS)],
+        "if(k < 30, props, NULL) AS campaign_ai_recommendation",
+        "concat('pace-', k % 3) AS campaign_ai_roas_pacing",
+        "if(k % 2 = 0, 'scale', NULL) AS adset_ai_recommendation",
+        "concat('p', k % 5) AS adset_ai_roas_pacing",
+        "event_type AS ad_ai_recommendation",
+        "cast(NULL AS string) AS ad_ai_roas_pacing",
+        "if(event_id % 2 = 0, 'hold', 'grow') AS channel_ai_recommendation",
+        "'' AS channel_ai_roas_pacing",
     )
 
 

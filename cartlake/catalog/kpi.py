@@ -19,8 +19,8 @@ from cartlake.sources.readers import parse_legacy_performance
 
 def shown(df):
     """Shares to 6 digits, clocks as text."""
-    rounded = {c: F.expr(f"floor({c} * 1e6D + 0.5D) / 1e6D") for c in schemas.SEARCH_SHARES if c in df.columns}
-    return plain(df.withColumns(rounded))
+    six = {c: f"floor({c} * 1e6D + 0.5D) / 1e6D AS {c}" for c in schemas.SEARCH_SHARES}
+    return plain(df.selectExpr(*[six.get(c, f"`{c}`") for c in df.columns]))
 
 
 @query(

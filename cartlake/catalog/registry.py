@@ -67,17 +67,14 @@ def props_k(col: str = "props") -> Column:
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and clocks as text: types every engine prints alike."""
-    out = []
-    for f in df.schema.fields:
-        kind = f.dataType.typeName()
-        col = F.col(f"`{f.name}`")
-        if kind.startswith("decimal"):
-            col = col.cast("double")
-        elif kind in ("timestamp", "timestamp_ntz"):
-            col = stamp(col)
-        elif kind == "date":
-            col = day(col)
-        elif kind in ("integer", "short", "byte"):
-            col = col.cast("bigint")
-        out.append(col.alias(f.name))
-    return df.select(*out)
+    shown = {
+        "decimal": "cast({c} AS double)",
+        "timestamp": f"date_format({{c}}, '{STAMP}')",
+        "timestamp_ntz": f"date_format({{c}}, '{STAMP}')",
+        "date": "date_format({c}, 'yyyy-MM-dd')",
+        "integer": "cast({c} AS bigint)",
+    }
+    name = lambda f: f"`{f.name}`"
+    return df.selectExpr(
+        *[f"{shown.get(f.dataType.typeName(), '{c}').format(c=name(f))} AS {name(f)}" for f in df.schema.fields]
+    )
