@@ -82,16 +82,8 @@ def write_orders(df: DataFrame, path: str, date: str | None = None, records_per_
 
 def write_subscription_orders(df: DataFrame, path: str, date: str) -> None:
     """Subscription orders by type and date in one pass; other dates stay."""
-    rows = df.filter(F.col("is_subscription") & F.col("subscription_type").isNotNull()).withColumn(
-        "date", F.lit(date)
-    )
-    (
-        rebalanced(rows, ["subscription_type", "date"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("subscription_type", "date")
-        .parquet(path)
-    )
+    rows = df.filter(F.col("is_subscription") & F.col("subscription_type").isNotNull())
+    write_partitioned(rows.withColumn("date", F.lit(date)), path, ["subscription_type", "date"])
 
 
 def with_kpi_partitions(hourly: DataFrame, by_hour: bool) -> DataFrame:
@@ -170,6 +162,33 @@ def read_kpi(spark: SparkSession, path: str, output_format: str = "csv", by_hour
     return reader.option("header", True).option("emptyValue", "").option("nullValue", None).csv(path)
 
 
+def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Parquet by partition columns; partitions without new rows stay as they are."""
+    (
+        rebalanced(df, columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
+def write_state_table(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> None:
+    """State table bucketed and sorted by its key.
+
+    Joins and look-ups by the key then read matching buckets without a shuffle of the table. One
+    task per bucket writes it: repartitioning by the key gives each bucket a single file.
+    """
+    writer = (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+    )
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def export_report(df: DataFrame, path: str, file_format: str = "csv") -> None:
     """Finished report as CSV with a header or as JSON records."""
     writer = df.write.mode("overwrite")

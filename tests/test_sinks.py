@@ -140,3 +140,41 @@ def test_lake_tables_and_purge(spark, folder):
     assert spark.read.parquet(path).count() == 4
     writers.purge_expired(spark, path, "2024-01-02", dry_run=False)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_bucketed_state_joins_without_shuffling_it(spark, folder):
+    state = spark.range(1000).selectExpr("cast(id AS string) AS customer_id", "id * 2 AS v")
+    writers.write_state_table(state, "customer_state_table", ["customer_id"], 4, folder + "/state")
+    assert len(glob.glob(folder + "/state/*.parquet")) == 4
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wanted = spark.range(100).selectExpr("cast(id AS string) AS customer_id").repartition(4, "customer_id")
+        joined = spark.table("customer_state_table").join(wanted, "customer_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100 and plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE customer_state_table")
+
+
+def test_curated_tables(spark, folder):
+    from cartlake.plans import curated_tables
+
+    start = datetime(2024, 1, 5)
+    rows = [
+        ("1", "a", start, start, None, True, "monthly"),
+        ("2", "a", datetime(2024, 2, 5), start, datetime(2024, 2, 6), True, "monthly"),
+        ("3", "b", start, start, None, True, "quarterly"),
+        ("4", "c", datetime(2024, 2, 1), datetime(2024, 2, 1), None, False, None),
+    ]
+    orders = spark.createDataFrame(
+        rows,
+        "order_id string, customer_id string, created_at timestamp_ntz, customer_created_at timestamp_ntz, "
+        "cancelled_at timestamp_ntz, is_subscription boolean, subscription_type string",
+    )
+    curated_tables.refresh(orders, folder, "2024-03-01")
+    (churn,) = spark.read.parquet(folder + "/churn_metrics").collect()
+    assert (churn.churn_rate, churn.subscribers, str(churn.metric_date)) == (0.5, 2, "2024-03-01")
+    cohorts = {r.cohort_month: r.customers for r in spark.read.parquet(folder + "/customer_cohorts").collect()}
+    assert cohorts == {"2024-01": 2, "2024-02": 1}
+    assert spark.read.parquet(folder + "/subscription_orders").count() == 3
