@@ -44,18 +44,14 @@ def orders(spark, sf, discounts: bool = False):
 def with_customer(spark, sf, o):
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = (
-        table(spark, sf, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_mktsegment").isin(SUBSCRIBERS).alias("is_subscription"),
-            F.col("n_name").alias("shipping_state"),
-            F.col("r_name").alias("shipping_country"),
-        )
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", F.col("n_name").alias("shipping_state"), F.col("r_name").alias("shipping_country")
+    )
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"), "c_nationkey", F.col("c_mktsegment").isin(SUBSCRIBERS).alias("is_subscription")
     )
-    return salted_join(o, customers, ["customer_id"], hot=hot_customers(spark, sf))
+    joined = salted_join(o, customers, ["customer_id"], hot=hot_customers(spark, sf))
+    return joined.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 _O = """o AS (

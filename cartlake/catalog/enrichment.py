@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartlake.catalog.events import ISO
-from cartlake.catalog.registry import plain, props_k, query, table
+from cartlake.catalog.registry import plain, props_k, query, spread, table
 from cartlake.operators import enrich, envelope
 from cartlake.operators.state import as_of_literal
 
@@ -43,15 +43,12 @@ def order_payloads(spark, sf):
     """Orders as landed envelopes with a nested JSON payload; orders without items keep an empty list."""
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = (
-        table(spark, sf, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
-    )
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     o = (
-        table(spark, sf, "orders")
+        spread(table(spark, sf, "orders"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(order_items(spark, sf), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
     key = F.col("o_orderkey")
@@ -283,7 +280,7 @@ def stringify_complex(spark, sf):
 
 def payload_envelopes(spark, sf, payload, event_type=None):
     """Events as envelopes around ``payload``."""
-    e = table(spark, sf, "events").withColumn("k", props_k())
+    e = spread(table(spark, sf, "events")).withColumn("k", props_k())
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
         (event_type if event_type is not None else F.col("event_type")).alias("event_type"),

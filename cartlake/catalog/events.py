@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartlake import schemas
-from cartlake.catalog.registry import props_k, query, table
+from cartlake.catalog.registry import props_k, query, spread, table
 from cartlake.functions import signature
 from cartlake.operators import envelope
 
@@ -91,7 +91,7 @@ def route_topics(spark, sf):
 
 def transport_lines(spark, sf):
     """Each event as one captured line, in five shapes; every fifth line is cut off."""
-    e = table(spark, sf, "events").withColumn("k", props_k())
+    e = spread(table(spark, sf, "events")).withColumn("k", props_k())
     when = F.date_format("ts", ISO)
     later = F.date_format(F.col("ts") + F.expr("interval 1 hour"), ISO)
     payload = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id"), F.col("k")))

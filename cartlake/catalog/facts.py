@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake import schemas
-from cartlake.catalog.registry import props_k, table
+from cartlake.catalog.registry import props_k, spread, table
 from cartlake.operators import kpi
 
 STORE_ZONE = "America/Chicago"
@@ -25,10 +25,13 @@ def with_region_name(spark: SparkSession, sf: str, events: DataFrame) -> DataFra
     """
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf, "region").select("r_regionkey", "r_name")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    located = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
-    return events.join(located, F.col("user_id") == F.col("c_custkey"))
+    return (
+        spread(events)
+        .join(customers, F.col("user_id") == F.col("c_custkey"))
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    )
 
 
 def orders_fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartlake import schemas
 from cartlake.catalog import facts
-from cartlake.catalog.registry import plain, props_k, query, stamp, table
+from cartlake.catalog.registry import plain, props_k, query, spread, stamp, table
 from cartlake.functions import regions
 from cartlake.functions.timeutil import fetch_window_columns
 from cartlake.operators import kpi
@@ -207,7 +207,7 @@ def shop_time_zone(spark, sf):
 
 def _performance_payloads(spark, sf):
     """Each event as one legacy payload: two nodes, one of them possibly unusable."""
-    e = table(spark, sf, "events").withColumn("k", props_k())
+    e = spread(table(spark, sf, "events")).withColumn("k", props_k())
     k = F.col("k")
     country = F.element_at(F.array(*[F.lit(c) for c in ("US", "CA", "GB", "AU", "UK", "us")]), (k % 6 + 1).cast("int"))
     source = F.element_at(

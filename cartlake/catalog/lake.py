@@ -11,7 +11,7 @@ from cartlake.catalog import facts
 from cartlake.catalog.events import ISO, TOPICS, parse_lines, pick, sql_pick, transport_lines
 from cartlake.catalog.enrichment import enriched
 from cartlake.catalog.kpi import shown
-from cartlake.catalog.registry import plain, props_k, query, table
+from cartlake.catalog.registry import plain, props_k, query, spread, table
 from cartlake.operators import curated, envelope, state
 from cartlake.plans import bulk_load, kpi_refresh
 from cartlake.session import shared_dir
@@ -24,7 +24,7 @@ _K = "CAST(regexp_extract(props, '[0-9]+') AS BIGINT)"
 
 def store_envelopes(spark, sf):
     """Events as landed envelopes: event time in the payload's zone, arrival some minutes later."""
-    e = table(spark, sf, "events").withColumn("k", props_k())
+    e = spread(table(spark, sf, "events")).withColumn("k", props_k())
     arrival = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("k"))
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -105,7 +105,7 @@ def quarantine_replay(spark, sf):
 def _export_lines(spark, sf):
     """Orders as export lines, with a blank and a cut-off line after every 50th."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    o = spread(table(spark, sf, "orders")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
     amount = F.struct(
         F.struct(
             F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("amount"), F.lit("USD").alias("currencyCode")
