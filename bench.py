@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Each query runs once to warm up and then ``$BENCH_RUNS`` times (default 1); the median counts.
+All queries run once to warm up, then each ``$BENCH_RUNS`` times (default 1); the median counts.
 ``$BENCH_QUERIES`` may name other queries, comma-separated, or ``all``.
 """
 
@@ -47,11 +47,10 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    run = lambda name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
-        job = lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()  # noqa: B023, E731
-        job()
-        seconds[name] = round(statistics.median(timed(job) for _ in range(runs)), 3)
+        run(name)
+    seconds = {name: round(statistics.median(timed(lambda: run(name)) for _ in range(runs)), 3) for name in names}  # noqa: B023
     spark.stop()
     print(
         json.dumps(
