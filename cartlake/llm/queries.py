@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import simhash
+from cartlake.llm import pieces, simhash, token_counts
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -34,3 +34,13 @@ def query(name: str, sql: str | None = None):
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), pieces.model_path(), limit=4096)
+
+
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), pieces.model_path())
