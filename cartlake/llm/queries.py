@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import pieces, simhash, token_counts
+from cartlake.llm import decontaminate, pieces, simhash, token_counts
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -44,3 +44,36 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), pieces.model_path())
+
+
+@query(
+    "op7_decontaminate",
+    r"""
+    WITH cut AS (
+      SELECT doc_id, rowid AS r, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+        lambda x: x <> '') AS w FROM (SELECT *, row_number() OVER () AS rowid FROM documents)),
+    item AS (
+      SELECT item_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+        lambda x: x <> '') AS w FROM benchmark),
+    win AS (
+      SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS g
+      FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)),
+    size AS (SELECT DISTINCT k FROM win),
+    gram AS (
+      SELECT r, i, k, array_to_string(w[i + 1 : i + k], ' ') AS g
+      FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS i FROM cut, size WHERE len(w) >= k)),
+    hit AS (SELECT r, i, gram.k, item_id FROM gram JOIN win USING (g, k)),
+    word AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+    owner AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word.n, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(owner.n, 0) AS BIGINT) AS n_items, sha256(coalesce(owner.ids, '')) AS items_sha256,
+           coalesce(word.n, 0) > 0 AS contaminated
+    FROM cut LEFT JOIN word USING (r) LEFT JOIN owner USING (r)""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
