@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import decontaminate, pieces, simhash, token_counts
+from cartlake.llm import decontaminate, pieces, simhash, token_counts, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -77,3 +77,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query("op3_warc")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
