@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import decontaminate, pieces, quality, simhash, token_counts, toxicity, warc
+from cartlake.llm import decontaminate, embeddings, pieces, quality, simhash, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -94,3 +94,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.graded(docs, toxicity.learned(docs, labels)).withColumn("held_out", quality.held_out())
+
+
+@query(
+    "op1_embedding_near_dedup",
+    """
+    WITH RECURSIVE unit AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    link AS (
+      SELECT x.vec_id AS a, y.vec_id AS b FROM unit x JOIN unit y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+      WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+    reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+    home AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(home.b, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(home.b, vec_id)) AS kept
+    FROM embeddings LEFT JOIN home ON home.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.links(table(spark, sf_dir, "embeddings"), cosine=0.98)
