@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import decontaminate, embeddings, pieces, quality, simhash, token_counts, toxicity, warc
+from cartlake.llm import decontaminate, embeddings, licenses, pieces, quality, simhash, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -115,3 +115,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.links(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
