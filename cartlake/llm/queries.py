@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import decontaminate, embeddings, licenses, pieces, quality, simhash, token_counts, toxicity, warc
+from cartlake.llm import decontaminate, embeddings, licenses, pieces, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -120,3 +120,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), length=200)
