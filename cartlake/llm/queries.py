@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cartlake.llm import decontaminate, embeddings, licenses, pieces, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
@@ -125,3 +126,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), length=200)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

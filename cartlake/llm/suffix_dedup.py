@@ -56,7 +56,7 @@ def gram_hashes(data: np.ndarray, size: int, base: np.uint64 = _BASE) -> np.ndar
         if rest:
             n = len(data) - 2 * width + 1
             have = have[:n] + power * have[width : width + n]
-            power, width = power * power, 2 * width
+            power, width = np.uint64(pow(int(base), 2 * width, 2**64)), 2 * width
     return _mixed(out[: len(data) - size + 1])
 
 
@@ -379,3 +379,15 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, keep_text: bool = False)
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, row bigint, text string"
     out = full.mapInArrow(run, schema)
     return out if keep_text else out.drop("row", "text")
+
+
+def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text``, and ``n_chars``, where there is one, counted again.
+
+    All rows and columns stay; a null text stays null, a text that was all repeated is empty.
+    """
+    left = deduplicated(docs, length, keep_text=True).select(F.col("row").alias("_row"), F.col("text").alias("_left"))
+    out = docs.drop("text").withColumn("_row", row_id()).join(left, "_row").withColumn("text", F.col("_left"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
