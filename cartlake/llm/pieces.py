@@ -25,9 +25,9 @@ from cartlake.llm.common import mapped
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Words, and chunks, kept by a Python worker, about 200 MB each. Full words stay as they are (the frequent ones come
+#: Words, and chunks, kept by a Python worker, about 130 MB each. Full words stay as they are (the frequent ones come
 #: early); full chunks start over.
-KEPT = 800_000
+KEPT = 500_000
 #: Longer chunks take the heap, shorter ones the side-by-side agenda.
 LONG = 48
 FAR = np.int32(2**31 - 1)
