@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake import schemas
-from cartlake.catalog.registry import props_k, spread, table
+from cartlake.catalog.registry import props_k, table
 from cartlake.operators import kpi
 
 STORE_ZONE = "America/Chicago"
@@ -28,7 +28,7 @@ def with_region_name(spark: SparkSession, sf: str, events: DataFrame) -> DataFra
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     return (
-        spread(events)
+        events
         .join(customers, F.col("user_id") == F.col("c_custkey"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -73,8 +73,8 @@ def ads_fact(spark: SparkSession, sf: str) -> DataFrame:
         "hour(ts) AS event_hour",
         "if(event_id % 2 = 0, 'facebook-ads', 'Google-Ads') AS channel",
         "concat('acct_', user_id % 7) AS account_id",
-        "concat('02_Prospecting_SCALE-', CASE r_name WHEN 'AMERICA' THEN 'USA' WHEN 'AFRICA' THEN 'can' "
-        "WHEN 'EUROPE' THEN 'GB' WHEN 'ASIA' THEN 'AUS' ELSE 'ZZ' END, '-CBO_Hero') AS campaign_name",
+        "concat('spring offer (', CASE r_name WHEN 'AMERICA' THEN 'USA' WHEN 'AFRICA' THEN 'can' "
+        "WHEN 'EUROPE' THEN 'GB' WHEN 'ASIA' THEN 'AUS' ELSE 'ZZ' END, ') film 7') AS campaign_name",
         "concat('set_', k % 4) AS adset_name",
         "if(k % 3 = 0, 'USD', 'CAD') AS currency",
         "'ACTIVE' AS campaign_status",
@@ -106,7 +106,12 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ the same in SQL
 
-_M = "DECIMAL(18,6)"
+_M = "DECIMAL(38,12)"
+
+
+def added(value: str) -> str:
+    """A value as a decimal to add up, by its shortest text as other engines read it."""
+    return f"CAST(CAST({value} AS VARCHAR) AS {_M})"
 
 
 def _lines(parts) -> str:
@@ -147,7 +152,7 @@ _ORDER_VALUE = {c: c for c in schemas.ORDER_METRICS[4:]} | {
 
 
 def orders_hourly_sql(where: str = "TRUE") -> str:
-    sums = _lines(f"sum(CAST({_ORDER_VALUE[c]} AS {_M})) AS {c}" for c in schemas.ORDER_METRICS)
+    sums = _lines(f"sum({added(_ORDER_VALUE[c])}) AS {c}" for c in schemas.ORDER_METRICS)
     return f"""order_sums AS (
   SELECT date_trunc('hour', created_at) AS order_hour, shipping_country_code,
     {sums}
@@ -189,8 +194,8 @@ ADS_FACT_SQL = f"""ads_fact AS (
   SELECT date_trunc('hour', ts) AS spend_hour,
     CASE WHEN event_id % 2 = 0 THEN 'facebook-ads' ELSE 'google-ads' END AS channel,
     'acct_' || (user_id % 7) AS account_id,
-    '02_Prospecting_SCALE-' || CASE r_name WHEN 'AMERICA' THEN 'USA' WHEN 'AFRICA' THEN 'can'
-      WHEN 'EUROPE' THEN 'GB' WHEN 'ASIA' THEN 'AUS' ELSE 'ZZ' END || '-CBO_Hero' AS campaign_name,
+    'spring offer (' || CASE r_name WHEN 'AMERICA' THEN 'USA' WHEN 'AFRICA' THEN 'can'
+      WHEN 'EUROPE' THEN 'GB' WHEN 'ASIA' THEN 'AUS' ELSE 'ZZ' END || ') film 7' AS campaign_name,
     'set_' || (k % 4) AS adset_name,
     CASE WHEN k % 3 = 0 THEN 'USD' ELSE 'CAD' END AS currency,
     CASE WHEN event_type = 'click' THEN value ELSE 0 END AS spend,
@@ -216,8 +221,8 @@ def ads_hourly_sql(where: str = "TRUE") -> str:
     return f"""ads_rows AS (SELECT * FROM ads_fact WHERE {where}),
 ad_sums AS (
   SELECT {_KEYS},
-    {_lines(f"sum(CAST({c} AS {_M})) AS {c}" for c in schemas.AD_SUMS)},
-    {_lines(f"CAST(sum(CAST({c} AS {_M})) AS DOUBLE) / nullif(count({c}), 0) AS {c}" for c in schemas.SEARCH_SHARES)}
+    {_lines(f"sum({added(c)}) AS {c}" for c in schemas.AD_SUMS)},
+    {_lines(f"CAST(sum({added(c)}) AS DOUBLE) / nullif(count({c}), 0) AS {c}" for c in schemas.SEARCH_SHARES)}
   FROM ads_rows GROUP BY {_KEYS}),
 ad_votes AS (
   SELECT {_KEYS}, field, value,
@@ -240,8 +245,8 @@ _LOCAL = (
 
 
 def _weight(share: str) -> str:
-    """Share times impressions in whole 1e-8 units."""
-    return f"CAST(round_even(coalesce({share}, 0) * CAST(impressions AS DOUBLE) * 1e8, 0) AS BIGINT)"
+    """Share times impressions."""
+    return added(f"coalesce({share}, 0) * CAST(impressions AS DOUBLE)")
 
 
 def six_digits(col: str) -> str:
@@ -263,13 +268,13 @@ def _metrics_sql() -> str:
   SELECT CASE shipping_country_code WHEN 'GB' THEN 'UK' ELSE shipping_country_code END AS region,
     {_UTC("order_hour")} AS timestamp_utc, currency, shipping_country_code AS currency_rank,
     {_lines(schemas.ORDER_METRICS)},
-    {_lines(f"CAST(NULL AS DECIMAL(28,6)) AS {c}" for c in ad_side)},
-    {_lines(f"CAST(NULL AS BIGINT) AS {c}" for c in schemas.SEARCH_SHARES)},
+    {_lines(f"CAST(NULL AS {_M}) AS {c}" for c in ad_side)},
+    {_lines(f"CAST(NULL AS {_M}) AS {c}" for c in schemas.SEARCH_SHARES)},
     NULL AS text_rank, {_lines(f"CAST(NULL AS VARCHAR) AS {c}" for c in texts)}
   FROM orders_hourly
   UNION ALL
   SELECT CASE account_id WHEN 'acct_3' THEN 'UK' WHEN 'acct_5' THEN 'AU' ELSE
-      CASE split_part(campaign_name, '-', 2) WHEN 'AUS' THEN 'AU' WHEN 'GB' THEN 'UK' WHEN 'can' THEN 'CA'
+      CASE split_part(split_part(campaign_name, '(', 2), ')', 1) WHEN 'AUS' THEN 'AU' WHEN 'GB' THEN 'UK' WHEN 'can' THEN 'CA'
         ELSE 'US' END END,
     {_UTC("spend_hour")}, NULL, NULL,
     {_lines("NULL" for c in schemas.ORDER_METRICS)},
@@ -282,7 +287,7 @@ metric_sums AS (
     coalesce(arg_max(currency, currency_rank) FILTER (WHERE currency IS NOT NULL), 'USD') AS currency,
     {_lines(f"coalesce(CAST(sum({c}) AS DOUBLE), 0) AS {c}" for c in schemas.HOURLY_SUMS if c != "new_customer_orders")},
     CAST(coalesce(sum(new_customer_orders), 0) AS BIGINT) AS new_customer_orders,
-    {_lines(f"CAST(sum({c}) AS DOUBLE) / 1e8 AS {c}" for c in schemas.SEARCH_SHARES)},
+    {_lines(f"CAST(sum({c}) AS DOUBLE) AS {c}" for c in schemas.SEARCH_SHARES)},
     {_lines(f"coalesce(arg_min({c}, text_rank) FILTER (WHERE {c} IS NOT NULL), '') AS {c}" for c in texts)}
   FROM fact_union GROUP BY 1, 2),
 metrics AS (
@@ -334,9 +339,9 @@ def daily_sql(source: str = "metrics") -> str:
     sums = [c for c in schemas.HOURLY_SUMS if c != "new_customer_orders"]
     return f"""daily_sums AS (
   SELECT region, CAST({_LOCAL} AS DATE) AS local_date,
-    {_lines(f"CAST(sum(CAST({c} AS {_M})) AS DOUBLE) AS {c}" for c in sums)},
+    {_lines(f"CAST(sum({added(c)}) AS DOUBLE) AS {c}" for c in sums)},
     CAST(sum(new_customer_orders) AS BIGINT) AS new_customer_orders,
-    {_lines(f"CAST(sum({_weight(c)}) AS DOUBLE) / 1e8 AS {c}" for c in schemas.SEARCH_SHARES)},
+    {_lines(f"CAST(sum({_weight(c)}) AS DOUBLE) AS {c}" for c in schemas.SEARCH_SHARES)},
     {_lines(f"arg_min({c}, timestamp_utc) AS {c}" for c in ["currency", *schemas.ADVISORY_TEXTS])}
   FROM {source} GROUP BY 1, 2),
 daily AS (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartlake import schemas
 from cartlake.catalog import facts
-from cartlake.catalog.registry import plain, props_k, query, spread, stamp, table
+from cartlake.catalog.registry import plain, props_k, query, stamp, table
 from cartlake.functions import regions
 from cartlake.functions.timeutil import fetch_window_columns
 from cartlake.operators import kpi
@@ -144,7 +144,7 @@ _DASH = f"""new_customer_orders, total_orders, total_orders - new_customer_order
 
 
 def _dash_sql(by: str) -> str:
-    sums = ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) AS {c}" for c in schemas.HOURLY_SUMS)
+    sums = ", ".join(f"CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS {c}" for c in schemas.HOURLY_SUMS)
     return f"""WITH {facts.METRICS_SQL},
 sums AS (SELECT {by}, {sums} FROM metrics GROUP BY 1)
 SELECT {by.split(" AS ")[-1]}, {_DASH} FROM sums"""
@@ -207,7 +207,7 @@ def shop_time_zone(spark, sf):
 
 def _performance_payloads(spark, sf):
     """Each event as one legacy payload: two nodes, one of them possibly unusable."""
-    e = spread(table(spark, sf, "events")).withColumn("k", props_k())
+    e = table(spark, sf, "events").withColumn("k", props_k())
     k = F.col("k")
     country = F.element_at(F.array(*[F.lit(c) for c in ("US", "CA", "GB", "AU", "UK", "us")]), (k % 6 + 1).cast("int"))
     source = F.element_at(
@@ -245,11 +245,11 @@ nodes AS (
   UNION ALL SELECT *, 'US' FROM e WHERE k % 2 = 0)
 SELECT region, strftime(ts, '%Y-%m-%d') AS day, count(*) AS node_count,
   CAST(sum(CAST(CASE WHEN k % 5 IN (0, 1) THEN value ELSE 0 END
-    + CASE WHEN k % 4 = 0 THEN 0 ELSE value * 2 END AS DECIMAL(18,6))) AS DOUBLE) AS meta_spend,
-  CAST(sum(CAST(CASE WHEN k % 5 IN (2, 3) THEN value ELSE 0 END AS DECIMAL(18,6))) AS DOUBLE) AS google_spend,
+    + CASE WHEN k % 4 = 0 THEN 0 ELSE value * 2 END AS DECIMAL(38,12))) AS DOUBLE) AS meta_spend,
+  CAST(sum(CAST(CASE WHEN k % 5 IN (2, 3) THEN value ELSE 0 END AS DECIMAL(38,12))) AS DOUBLE) AS google_spend,
   CAST(sum(k) AS BIGINT) AS new_customer_orders,
-  CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS new_customer_sales,
-  CAST(sum(CAST(value * 4 AS DECIMAL(18,6))) AS DOUBLE) AS total_sales
+  CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) AS new_customer_sales,
+  CAST(sum(CAST(value * 4 AS DECIMAL(38,12))) AS DOUBLE) AS total_sales
 FROM nodes WHERE region IS NOT NULL GROUP BY 1, 2""",
 )
 def metrics_collapse(spark, sf):
@@ -292,9 +292,8 @@ def ads_region_inference(spark, sf):
         F.col("p_brand").alias("adset_name"),
     )
     tokens = regions.ad_tokens(F.col("campaign_name"), F.col("adset_name"))
-    accounts = {k: v for k, v in PART_ACCOUNTS.items() if v}
     return (
-        regions.with_ad_region(ads, accounts, PART_KEYWORDS)
+        regions.with_ad_region(ads, PART_ACCOUNTS, PART_KEYWORDS)
         .withColumn("token_count", F.size(tokens).cast("bigint"))
         .select("p_partkey", "token_count", "region")
     )

@@ -177,10 +177,10 @@ def dq_validate_orders(spark, sf):
 @query(
     "dq_reconcile",
     f"""WITH {facts.METRICS_SQL},
-m AS (SELECT CAST(sum(CAST(total_sales AS DECIMAL(18,6))) AS DOUBLE) AS total_sales,
-  CAST(sum(CAST(refund_money AS DECIMAL(18,6))) AS DOUBLE) AS refund_money FROM metrics),
-f AS (SELECT CAST(sum(CAST(order_revenue AS DECIMAL(18,6))) AS DOUBLE) AS total_sales,
-  CAST(sum(CAST(refund_money AS DECIMAL(18,6))) AS DOUBLE) AS refund_money FROM orders_fact),
+m AS (SELECT CAST(sum(CAST(total_sales AS DECIMAL(38,12))) AS DOUBLE) AS total_sales,
+  CAST(sum(CAST(refund_money AS DECIMAL(38,12))) AS DOUBLE) AS refund_money FROM metrics),
+f AS (SELECT CAST(sum(CAST(order_revenue AS DECIMAL(38,12))) AS DOUBLE) AS total_sales,
+  CAST(sum(CAST(refund_money AS DECIMAL(38,12))) AS DOUBLE) AS refund_money FROM orders_fact),
 b AS (SELECT 'total_sales' AS metric, m.total_sales AS hourly_total, f.total_sales AS fact_total FROM m, f
   UNION ALL SELECT 'refund_money', m.refund_money, f.refund_money FROM m, f)
 SELECT *, CAST(printf('%.4f', hourly_total - fact_total) AS DOUBLE) AS difference FROM b""",

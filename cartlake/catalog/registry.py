@@ -52,20 +52,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A small input over all cores, for steps that work hard on every row.
-
-    A file of one row group is one task, however many cores wait. An input big enough to have a
-    split per core is left as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * SPLIT_BYTES else df
-
-
 def stamp(col: Column | str) -> Column:
     return F.date_format(col, STAMP)
 

@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
 
-# Additive metrics are summed as whole millionths: the total is then the same whatever the order
-# in which partial sums meet, so a retried task or another partitioning changes nothing, and it
-# costs no more than a sum of doubles. A sum beyond 9.2e12 units is an error, not a wrap.
-MICRO = "1e6D"
-# Weights (share times impressions) keep two more digits.
-WEIGHT = "1e8D"
+# Additive metrics are summed as decimals of 12 places: the total is then the same whatever the order
+# in which partial sums meet, so a retried task or another partitioning changes nothing. Totals up to
+# 1e26 fit; beyond that is an error, not a wrap.
+TERM = "decimal(38,12)"
 
 
-def whole(expr: str, scale: str = MICRO) -> str:
-    """SQL of a numeric expression as whole units of ``1 / scale``, null as 0."""
-    return f"cast(rint(coalesce({expr}, 0D) * {scale}) AS bigint)"
+def term(expr: str) -> str:
+    """SQL of a numeric expression as a decimal to add up, null as 0."""
+    return f"cast(coalesce({expr}, 0D) AS {TERM})"
 
 
-def exact_total(expr: str, scale: str = MICRO) -> str:
-    """SQL of the exact sum of a numeric expression, back in its own unit."""
-    return f"(cast(sum({whole(expr, scale)}) AS double) / {scale})"
+def exact_total(expr: str) -> str:
+    """SQL of the order-free sum of a numeric expression."""
+    return f"cast(sum({term(expr)}) AS double)"
 
 
 def number(col: Column) -> Column:

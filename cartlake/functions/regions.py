@@ -28,7 +28,7 @@ REGION_KEYWORDS = {
 DEFAULT_REGION = "US"
 # --- end of fixed values ---
 
-LITERAL_MAP_LIMIT = 200
+# Entries of an account dictionary up to which its join is a broadcast; the result is the same beyond it.
 BROADCAST_ROW_LIMIT = 100_000
 
 
@@ -74,8 +74,8 @@ def with_ad_region(
 ) -> DataFrame:
     """Region by account, else by keywords in the ad texts, else the default.
 
-    A small dictionary becomes a literal in the projection. A bigger one, or a table
-    ``(account_id, region)`` with one row per account, is left-joined; the join is a broadcast
+    A dictionary of any size, or a table ``(account_id, region)`` with one row per account, is
+    left-joined; an account with a blank region falls through to the texts. The join is a broadcast
     only when the number of entries is known to be small, else Spark sizes it at run time.
     """
     present = [F.col(c) for c in text_columns if c in ads.columns]
@@ -83,8 +83,6 @@ def with_ad_region(
     account = F.col(account_column)
     if not account_regions:
         by_account = F.lit(None).cast("string")
-    elif isinstance(account_regions, dict) and len(account_regions) <= LITERAL_MAP_LIMIT:
-        by_account = lookup(account_regions, account)
     else:
         by_account = F.nullif(F.col("_account_region"), F.lit(""))
         if isinstance(account_regions, dict):

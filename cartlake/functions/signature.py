@@ -35,7 +35,7 @@ def body_signature_valid(body: Column, signature: Column, secret: str) -> Column
 
 def _header_values(header: Column, name: str) -> Column:
     parts = F.filter(F.split(header, ","), lambda p: F.substring_index(F.trim(p), "=", 1) == name)
-    return F.transform(parts, lambda p: F.substring(F.trim(p), len(name) + 2, 10**6))
+    return F.transform(parts, lambda p: F.substr(F.trim(p), F.lit(len(name) + 2)))
 
 
 def gateway_signature_reason(

@@ -52,12 +52,12 @@ def orders_hourly(orders: DataFrame, start: datetime | None = None, end: datetim
         .groupBy("order_hour", "shipping_country_code", "currency")
         .agg(
             F.expr("count(1) AS votes"),
-            *[F.expr(f"sum({num.whole(value[c])}) AS {c}") for c in schemas.ORDER_METRICS],
+            *[F.expr(f"sum({num.term(value[c])}) AS {c}") for c in schemas.ORDER_METRICS],
         )
     )
     return by_currency.groupBy("order_hour", "shipping_country_code").agg(
         F.expr("min_by(currency, if(currency IS NULL, NULL, struct(-votes, currency))) AS currency"),
-        *[F.expr(f"cast(sum({c}) AS double) / {num.MICRO} AS {c}") for c in schemas.ORDER_METRICS],
+        *[F.expr(f"cast(sum({c}) AS double) AS {c}") for c in schemas.ORDER_METRICS],
     )
 
 
@@ -154,7 +154,7 @@ def hourly_region_metrics(
         .groupBy(*key)
         .agg(
             *[F.expr(f"{num.exact_total(c)} AS {c}") for c in schemas.HOURLY_SUMS],
-            *[F.expr(f"{num.exact_total(c, num.WEIGHT)} AS {c}") for c in schemas.SEARCH_SHARES],
+            *[F.expr(f"{num.exact_total(c)} AS {c}") for c in schemas.SEARCH_SHARES],
         )
     )
     currency = orders.filter("currency <> ''").select(*key, "currency", F.col("shipping_country_code").alias("country"))
@@ -247,7 +247,7 @@ def daily_report(metrics: DataFrame) -> DataFrame:
     rolled = local.groupBy("region", "local_date").agg(
         *[F.expr(f"{num.exact_total(c)} AS {c}") for c in schemas.HOURLY_SUMS],
         *[
-            F.expr(f"{num.exact_total(f'{c} * coalesce(impressions, 0D)', num.WEIGHT)} AS {c}")
+            F.expr(f"{num.exact_total(f'{c} * coalesce(impressions, 0D)')} AS {c}")
             for c in schemas.SEARCH_SHARES
         ],
         *[F.expr(f"min_by({c}, if({c} IS NULL, NULL, timestamp_utc)) AS {c}") for c in first],
