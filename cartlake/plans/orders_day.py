@@ -56,7 +56,10 @@ def run(
 
 
 def flatten_landed(spark: SparkSession, raw_path: str, processed_path: str, brand: str, date: str | None = None) -> None:
-    """The plain nightly job: parse, flatten, lists to text, brand, overwrite."""
+    """The plain nightly job: parse, flatten, lists to text, brand, overwrite.
+
+    With a date only that date is read, and only its partition is replaced.
+    """
     landed = readers.read_order_payloads(spark, raw_path, date)
     orders = enrich.stringify_complex(envelope.payload_columns(landed))
-    writers.write_orders(envelope.with_brand(orders, brand), processed_path)
+    writers.write_orders(envelope.with_brand(orders.drop("date") if date else orders, brand), processed_path, date)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from cartlake import schemas
 from cartlake.operators.envelope import landing_partitions
+from cartlake.session import shared_dir
 from cartlake.sources.readers import path_exists
 
 KPI_PARTITIONS = ["year", "month", "day", "region"]
@@ -106,15 +107,19 @@ def write_kpi(
     by_hour: bool = False,
     manifest_path: str | None = None,
 ) -> dict:
-    """Hourly table by local day and region, touched partitions replaced.
+    """Hourly table by local day and region; the range's partitions become those of this table.
 
+    The table is computed once, to the shared folder; from there it is written, and its own
+    partitions are the manifest's. Partitions of the range that it does not have are dropped.
     Returns what the manifest holds. An empty table is an error.
     """
     spark = hourly.sparkSession
     columns = KPI_HOUR_PARTITIONS if by_hour else KPI_PARTITIONS
-    staged = rebalanced(with_kpi_partitions(hourly, by_hour), columns).sortWithinPartitions(
-        *columns, "timestamp_utc"
-    )
+    made = with_kpi_partitions(hourly, by_hour)
+    stage = shared_dir(spark, "kpi")
+    made.write.parquet(stage)
+    made = spark.read.schema(made.schema).parquet(stage)
+    staged = rebalanced(made, columns).sortWithinPartitions(*columns, "timestamp_utc")
 
     def write(out: DataFrame) -> None:
         writer = (
@@ -126,14 +131,10 @@ def write_kpi(
             writer.option("header", True).option("compression", "gzip").csv(path)
 
     info = write_counted(staged, write, "hourly table")
-    written = read_kpi(spark, path, output_format, by_hour)
-    day = F.concat_ws("-", "year", "month", "day")
-    touched = written.filter(day.between(start_date, end_date)).select(*columns).distinct()
-    manifest = touched.agg(
-        F.sort_array(
-            F.collect_list(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in columns]))
-        ).alias("partitions")
-    ).select(
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in columns]).alias("folder")
+    written = made.select(folder).distinct()
+    _drop_stale(spark, path, written, start_date, end_date, output_format, by_hour, folder)
+    manifest = written.agg(F.sort_array(F.collect_list("folder")).alias("partitions")).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("written_at"),
         F.lit(info["rows"]).cast("bigint").alias("row_count"),
         F.lit(start_date).alias("start_date"),
@@ -147,6 +148,16 @@ def write_kpi(
     return {"row_count": info["rows"], "start_date": start_date, "end_date": end_date, "manifest": manifest}
 
 
+def _drop_stale(spark, path, written, start_date, end_date, output_format, by_hour, folder) -> None:
+    """Delete the partitions of the range that the run has not written; their names only are read."""
+    day = F.concat_ws("-", "year", "month", "day")
+    there = read_kpi(spark, path, output_format, by_hour).filter(day.between(start_date, end_date)).select(folder).distinct()
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in there.join(written, "folder", "left_anti").toLocalIterator():
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, row.folder), True)
+
+
 def kpi_schema(by_hour: bool = False) -> T.StructType:
     """Columns of the written table: data first, then the partition columns."""
     columns = KPI_HOUR_PARTITIONS if by_hour else KPI_PARTITIONS

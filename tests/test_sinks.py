@@ -52,6 +52,20 @@ def test_refresh_by_hour_replaces_only_its_dates(spark, folder):
     assert len(manifest) == 2 and info["row_count"] == min(m.row_count for m in manifest)
 
 
+def test_a_smaller_refresh_leaves_only_its_own_partitions(spark, folder):
+    orders, ads = facts(spark)
+    days = (date(2024, 3, 9), date(2024, 3, 11))
+    path = folder + "/k"
+    kpi_refresh.refresh(orders, ads, *days, "UTC", path)
+    regions = {r.region for r in writers.read_kpi(spark, path, "parquet").collect()}
+    keep = sorted(regions)[0]
+    hourly = kpi_refresh.hourly_between(orders, ads, *days, "UTC").filter(F.col("region") == keep)
+    info = writers.write_kpi(hourly, path, "2024-03-10", "2024-03-11", "parquet")
+    left = {(r.region, str(r.local_date)) for r in writers.read_kpi(spark, path, "parquet").collect()}
+    assert len(regions) > 1 and {r for r, d in left if d > "2024-03-09"} == {keep} and {r for r, d in left if d == "2024-03-09"} >= {keep}
+    assert all(p.endswith(f"region={keep}") for p in info["manifest"].first().partitions)
+
+
 def test_csv_keeps_empty_text_and_null_apart(spark, folder):
     orders, ads = facts(spark)
     path = folder + "/csv"
@@ -84,8 +98,9 @@ def test_export_skips_blank_and_malformed_lines(spark, folder):
     assert readers.read_export(spark, folder + "/x.jsonl.gz").count() == 2
     kept = readers.read_export(spark, folder + "/x.jsonl.gz", keep_malformed=True)
     assert [r[0] for r in kept.select("_corrupt_record", "id").filter("_corrupt_record IS NOT NULL").collect()] == ["{bad"]
-    info = bulk_load.load_export(spark, folder + "/x.jsonl.gz", folder + "/snap", "2024-01-01")
-    assert info == {"rows": 2}
+    info = bulk_load.load_export(spark, folder + "/x.jsonl.gz", folder + "/snap", "2024-01-01", folder + "/bad")
+    assert info == {"rows": 2, "malformed": 1}
+    assert [(r.raw, r.reason) for r in spark.read.json(folder + "/bad").collect()] == [("{bad", "malformed line")]
     assert readers.read_snapshots(spark, folder + "/snap", "2024-01-01").count() == 2
     assert readers.read_snapshots(spark, folder + "/snap", "2024-01-02") is None
 
@@ -114,7 +129,12 @@ def test_order_day(spark, folder):
 def test_plain_nightly_job(spark, folder):
     writers.land_raw(envelopes(spark, [order()]), folder + "/raw", F.lit("orders"))
     orders_day.flatten_landed(spark, folder + "/raw", folder + "/flat", "demo", "2025-10-03")
-    r = spark.read.parquet(folder + "/flat").first()
+    before = spark.read.parquet(folder + "/flat").collect()
+    writers.land_raw(envelopes(spark, [order(id=9, updated_at="2025-10-04T10:00:00Z")]), folder + "/raw", F.lit("orders"))
+    orders_day.flatten_landed(spark, folder + "/raw", folder + "/flat", "demo", "2025-10-04")
+    after = spark.read.option("recursiveFileLookup", False).parquet(folder + "/flat").collect()
+    assert len(before) == 1 and len(after) >= 1 and any(str(r.date) == "2025-10-03" for r in after)
+    r = before[0]
     assert r.brand == "demo" and r.customer.email == "a@example.com" and json.loads(r.line_items)[0]["quantity"] == 1
 
 
