@@ -38,6 +38,16 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
+_cache: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker remembers for one operator; that of the operator before it is let go."""
+    if owner not in _cache:
+        _cache.clear()
+    return _cache.setdefault(owner, {})
+
+
 def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn(batch) -> dict of columns`` over Arrow batches; an empty batch gives no rows."""
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from cartlake.llm.common import mapped
+from cartlake.llm.common import mapped, worker_cache
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -193,8 +193,6 @@ def chunks_of(text: str) -> list[str]:
 #: Ids as little-endian 32-bit numbers. Where the library disagrees or the ids do not decode to what was encoded:
 #: (ids, decoded bytes, library agrees).
 Coded = bytes | tuple[bytes, bytes, bool]
-#: By model file: coded chunks, and coded words (what stands between two single spaces, with the one before it).
-_kept: dict[str, tuple[dict[str, Coded], dict[str, Coded]]] = {}
 
 
 def _joined(parts: list[str], coded: list[Coded], before: str = "") -> Coded:
@@ -223,7 +221,8 @@ def _gaps(found: list) -> Iterator[int]:
 
 def encode_batch(texts: list[str], path: str, slice_chars: int = 4_000_000) -> Iterator[tuple[bytes, bytes, bool]]:
     """Yields (ids without begin and end, decoded bytes, library agrees) per text, in slices of bounded size."""
-    (chunks, words), at = _kept.setdefault(path, ({}, {})), 0
+    # Coded chunks, and coded words: what stands between two single spaces, with the one before it.
+    (chunks, words), at = worker_cache("pieces").setdefault(path, ({}, {})), 0
     while at < len(texts):
         end, chars = at, 0
         while end < len(texts) and (end == at or chars + len(texts[end]) <= slice_chars):

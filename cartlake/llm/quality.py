@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import mapped
+from cartlake.llm.common import mapped, worker_cache
 
 #: Labelled documents the model is fitted on at most: the first by a hash of the doc_id.
 SAMPLE = 3_000
@@ -26,8 +26,8 @@ DIMENSIONS = 8
 NGRAMS = (3, 4, 5)
 EPOCHS = 12
 RATE = 1.0
-#: Words a worker remembers, about 150 MB; the frequent ones come early.
-KEPT = 1_000_000
+#: Words a worker remembers, about 90 MB; the frequent ones come early.
+KEPT = 600_000
 HELD_OUT = 2
 
 
@@ -105,9 +105,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 11
     return Model(vectors @ (layer[:, 1] - layer[:, 0]), float(shift[1] - shift[0]))
 
 
-_words: dict[str, dict[str, complex]] = {}
-
-
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``(doc_id, text)`` to ``(doc_id, held_out, score, predicted)``, a row for each row, over whole texts.
 
@@ -119,9 +116,10 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         adds, bias = shared.value
-        if key not in _words:
-            _words.clear()
-        known, own = _words.setdefault(key, {}), Model(adds, bias)
+        words_of = worker_cache("quality")
+        if key not in words_of:
+            words_of.clear()
+        known, own = words_of.setdefault(key, {}), Model(adds, bias)
 
         def worth(word: str) -> complex:
             """Sum of what the features add, and (imaginary) their number."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import mapped
+from cartlake.llm.common import mapped, worker_cache
 from cartlake.llm.decontaminate import normal
 from cartlake.llm.quality import held_out
 
@@ -32,8 +32,8 @@ RATIO = 20.0
 SUPPORT = 3
 GRADES = 3
 STEMS = (4, 5, 6)
-#: Words a worker remembers, about 100 MB; the frequent ones come early.
-KEPT = 600_000
+#: Words a worker remembers, about 50 MB; the frequent ones come early.
+KEPT = 300_000
 
 
 @dataclass
@@ -113,15 +113,12 @@ class Finder:
         return dict(out)
 
 
-_finders: dict[int, Finder] = {}
-
-
 def _finder(terms) -> Finder:
-    key = hash(tuple(terms))
-    if key not in _finders:
-        _finders.clear()
-        _finders[key] = Finder(frozenset(terms))
-    return _finders[key]
+    key, finders = hash(tuple(terms)), worker_cache("toxicity")
+    if key not in finders:
+        finders.clear()
+        finders[key] = Finder(frozenset(terms))
+    return finders[key]
 
 
 def _featured(docs: DataFrame, terms: list[str]) -> DataFrame:

@@ -58,7 +58,7 @@ def test_side_by_side_and_heap_agree():
 
 def test_where_the_agenda_differs_the_library_counts(monkeypatch):
     voc = pieces.vocabulary(PATH)
-    monkeypatch.setattr(pieces, "_kept", {})
+    monkeypatch.setattr(pieces, "worker_cache", lambda owner, own={}: own)
     monkeypatch.setattr(voc, "encode_chunks", lambda chunks: [[5] for _ in chunks])
     ((ids, decoded, agrees),) = pieces.encode_batch(["plain words\nhere"], PATH)
     assert np.frombuffer(ids, "<u4").tolist() == library().encode("plain words\nhere") and decoded == b"plain words\nhere" and not agrees
