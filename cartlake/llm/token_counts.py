@@ -68,12 +68,13 @@ class PrefixCounts:
         lost = sum(len(c.encode()) - 1 for c in chunk[:i] if c not in ids) if self.voc.bytes else 0
         counts.append(len(merged) + lost)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Counts of new chunks; in sorted order, so that a shared beginning is worked out once."""
+    def learn(self, wanted: set[str]) -> None:
+        """Counts of chunks, of all that are wanted; in sorted order, so that a shared beginning is worked out once."""
         if len(self.chunks) > KEPT:
             self.chunks.clear()
         if len(self._fits) > 2 * KEPT:
             self._fits.clear()
+        chunks = wanted - self.chunks.keys()
         before, last, counts = "", [ALONE], array("i", [0])
         for chunk in sorted(chunks):
             same, most = 0, min(len(before), len(chunk))
@@ -90,7 +91,7 @@ class PrefixCounts:
         """``counts[p]``: tokens of ``text[:p]`` for p from 0 to its length (no begin or end)."""
         out, base = [np.zeros(1, np.int32)], 0
         parts = chunks_of(text)
-        self.learn(set(parts) - self.chunks.keys())
+        self.learn(set(parts))
         for part in parts:
             own = np.frombuffer(self.chunks[part], np.int32) + base
             base = int(own[-1])
@@ -104,7 +105,7 @@ class PrefixCounts:
         found = [None if "" in parts else list(map(words.get, parts)) for parts in cut]
         uneven = {k: chunks_of(texts[k]) for k, f in enumerate(found) if f is None}
         fresh = {w: chunks_of(w) for parts, f in zip(cut, found) if f and None in f for w, n in zip(parts, f) if n is None}
-        self.learn(({c for own in fresh.values() for c in own} | {c for own in uneven.values() for c in own}) - self.chunks.keys())
+        self.learn({c for own in fresh.values() for c in own} | {c for own in uneven.values() for c in own})
         ends = lambda own: sum(int.from_bytes(self.chunks[c][-4:], "little") for c in own)
         counted = {w: ends(own) for w, own in fresh.items()}
         if len(words) < KEPT:

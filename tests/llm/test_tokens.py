@@ -49,6 +49,14 @@ def test_a_full_cache_changes_nothing(monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text)
 
 
+def test_a_full_cache_of_counts_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_counts, "KEPT", 5)
+    counts, texts, lib = token_counts.PrefixCounts(pieces.vocabulary(PATH)), odd_texts(120, 9), library()
+    for at in range(0, len(texts), 6):
+        assert counts.totals(texts[at : at + 6]) == [len(lib.encode(t)) for t in texts[at : at + 6]]
+        assert counts.at_every_prefix(texts[at])[-1] == len(lib.encode(texts[at]))
+
+
 def test_side_by_side_and_heap_agree():
     voc = pieces.vocabulary(PATH)
     rng = random.Random(4)
