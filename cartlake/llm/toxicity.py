@@ -139,7 +139,7 @@ def _featured(docs: DataFrame, terms: list[str]) -> DataFrame:
     return mapped(docs, run, "doc_id bigint, toxic int, ids array<int>, counts array<int>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = 300, ridge: float = 1e-3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = 600, ridge: float = 1e-4) -> Model:
     """Model of ``labels(doc_id, toxic 0/1)`` over the texts of ``docs(doc_id, text)``.
 
     Labels that are null or not 0 or 1, and labels without a document, teach nothing. Without toxic texts, or
