@@ -16,8 +16,8 @@ def hot_customers(spark, sf):
     return hot_keys(table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id")), ["customer_id"])
 
 
-def orders(spark, sf, discounts: bool = False):
-    """Orders under the names of the enriched table; cohort is the month of the first order."""
+def orders(spark, sf, discounts: bool = False, acquired: bool = True):
+    """Orders under the names of the enriched table, with the first order date if ``acquired``."""
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -26,7 +26,8 @@ def orders(spark, sf, discounts: bool = False):
         F.col("o_totalprice").cast("decimal(18,2)").alias("total_price"),
         F.col("o_orderpriority").alias("source_name"),
     )
-    o = curated.with_acquisition(o, hot=hot_customers(spark, sf))
+    if acquired:
+        o = curated.with_acquisition(o, hot=hot_customers(spark, sf))
     if discounts:
         lines = (
             table(spark, sf, "lineitem")
@@ -135,7 +136,7 @@ SELECT CASE WHEN discount > 0 THEN 'Discounted' ELSE 'Full Price' END AS order_t
 FROM o LEFT JOIN d ON order_id = l_orderkey GROUP BY 1""",
 )
 def discount_impact(spark, sf):
-    return plain(curated.discount_impact(orders(spark, sf, discounts=True)))
+    return plain(curated.discount_impact(orders(spark, sf, discounts=True, acquired=False)))
 
 
 @query(
@@ -187,5 +188,5 @@ FROM o WHERE r_name = 'AMERICA' GROUP BY 1 ORDER BY total_revenue DESC""",
 )
 def orders_by_state(spark, sf):
     """Revenue per state of one country, greatest first."""
-    rows = curated.orders_by_state(with_customer(spark, sf, orders(spark, sf)), "AMERICA")
+    rows = curated.orders_by_state(with_customer(spark, sf, orders(spark, sf, acquired=False)), "AMERICA")
     return plain(rows).orderBy(F.desc("total_revenue"))

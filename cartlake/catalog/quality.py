@@ -88,6 +88,22 @@ def dq_state_health(spark, sf):
     return plain(health(spark, sf))
 
 
+@query(
+    "dq_version_health",
+    """WITH k AS (SELECT user_id, count(*) AS n, max(ts) AS u FROM events GROUP BY 1),
+s AS (SELECT CAST(sum(n) AS BIGINT) AS n, count(*) FILTER (WHERE n > 1) AS d, max(u) AS u FROM k),
+t AS (SELECT *, CASE WHEN n = 0 THEN 'EMPTY' WHEN d > 0 THEN 'DUPLICATES' WHEN u < TIMESTAMP '2024-01-29 12:34:00' THEN 'STALE'
+  ELSE 'ACTIVE' END AS state FROM s)
+SELECT 'state_table_health' AS "check", CASE WHEN state = 'ACTIVE' THEN 'PASS' ELSE 'FAIL' END AS status,
+  'Table ' || state || ' ~' || n || ' items' AS message, n AS item_count, state AS table_status, d AS duplicate_keys,
+  strftime(u, '%Y-%m-%d %H:%M:%S') AS last_update
+FROM t""",
+)
+def dq_version_health(spark, sf):
+    """The health check over all versions, where a key has as many rows as it had events."""
+    return plain(quality.state_health(table(spark, sf, "events"), ["user_id"], "ts", as_of()))
+
+
 def all_checks(spark, sf):
     events = table(spark, sf, "events")
     return quality.as_checks(
@@ -171,7 +187,7 @@ UNPIVOT v ON COLUMNS(*) INTO NAME rule VALUE violations""",
 def dq_validate_orders(spark, sf):
     from cartlake.catalog.curated import orders
 
-    return quality.validate_orders(orders(spark, sf, discounts=True))
+    return quality.validate_orders(orders(spark, sf, discounts=True, acquired=False))
 
 
 @query(

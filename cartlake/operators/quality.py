@@ -34,26 +34,30 @@ def expected_hours(keys: DataFrame, as_of: Column, hours: int) -> DataFrame:
     return keys.withColumn("hour", grid)
 
 
+def series_of(events: DataFrame, by: str | None, expected: DataFrame | None = None) -> DataFrame:
+    """The series a check reports on: ``expected(series)`` if given, else all that ever had an event."""
+    if not by:
+        return events.sparkSession.range(1).select(F.lit("all").alias("series"))
+    return (expected if expected is not None else events.select(F.col(by).alias("series"))).select("series").distinct()
+
+
 def hourly_gaps(
     events: DataFrame,
     as_of: Column,
     hours: int = WINDOW_HOURS,
     time: str = "ts",
     by: str | None = None,
-    lookback_days: int = 30,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """FAIL with the list of empty hours, else PASS.
 
     The events are reduced to the hours seen in the window before they meet the grid, which has
-    ``hours`` rows per series. A series is expected if it had an event in the last
-    ``lookback_days``; both bounds are on the raw time, so older data is not read.
+    ``hours`` rows per series; the bound is on the raw time, so older data is not read for it.
+    Every series of ``expected(series)`` is reported, however long it has been silent. Without
+    that list it is every series of the events, which reads one column of all of them.
     """
     start = tu.hour_of(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours - 1))
-    if by:
-        known = events.filter(F.col(time) >= tu.hour_of(as_of) - F.make_dt_interval(F.lit(lookback_days)))
-        series = known.select(F.col(by).alias("series")).distinct()
-    else:
-        series = events.sparkSession.range(1).select(F.lit("all").alias("series"))
+    series = series_of(events, by, expected)
     key = F.col(by) if by else F.lit("all")
     seen = (
         events.filter(F.col(time) >= start)
@@ -82,12 +86,13 @@ def count_anomaly(
     align_hours: bool = True,
     days: int = ANOMALY_DAYS,
     ratio: float = ANOMALY_RATIO,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Last full hour against the mean of an hour over the days before.
 
     ``align_hours`` compares like with like; without it the earlier days use the hour after the
-    one under test. Days without events count as 0. Only the days in question are read; a series
-    without any event in them is not reported.
+    one under test. Days without events count as 0, and so does a series without any event in
+    them; ``expected`` is that of ``hourly_gaps``. Counts read only the days in question.
     """
     tested = tu.hour_of(as_of) - F.expr("interval 1 hour")
     anchor = tested if align_hours else tu.hour_of(as_of)
@@ -100,7 +105,8 @@ def count_anomaly(
         F.count(F.when(hour.isin(*back), 1)).alias("_earlier"),
     ]
     if by:
-        counts = read.groupBy(F.col(by).alias("series")).agg(*wanted)
+        counted = read.groupBy(F.col(by).alias("series")).agg(*wanted)
+        counts = series_of(events, by, expected).join(counted, "series", "left").na.fill(0, ["current_count", "_earlier"])
     else:
         counts = read.agg(*wanted).withColumn("series", F.lit("all"))
     average = F.col("_earlier") / F.lit(float(days))

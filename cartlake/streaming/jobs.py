@@ -51,14 +51,34 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(full).parquet(path)
 
 
-def read_state(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """Newest row per key of a change log."""
-    return latest_per_key(read_log(spark, path, schema), keys, [BATCH]).drop(BATCH)
+def read_state(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], compacted: str | None = None
+) -> DataFrame:
+    """Newest row per key of a change log, from its last compaction and the batches after it."""
+    log = read_log(spark, path, schema)
+    if compacted:
+        done = read_log(spark, compacted, schema)
+        upto = done.agg(F.max(BATCH)).first()[0]  # a partition value: one number
+        if upto is not None:
+            log = log.filter(F.col(BATCH) > upto).unionByName(done.filter(F.col(BATCH) == upto))
+    return latest_per_key(log, keys, [BATCH]).drop(BATCH)
 
 
 def compact_state(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], out: str) -> None:
-    """Write the newest row per key, e.g. nightly, to keep the log short."""
-    read_state(spark, path, schema, keys).write.mode("overwrite").parquet(out)
+    """Write the newest row per key, e.g. nightly; ``read_state(..., compacted=out)`` then reads little else.
+
+    Each compaction is a folder named after the newest batch in it and starts from the one before. Batches up to
+    that number are not read again and may be removed.
+    """
+    upto = read_log(spark, path, schema).agg(F.max(BATCH)).first()[0]
+    if upto is not None:
+        before = out if _exists(spark, out) else None
+        read_state(spark, path, schema, keys, before).write.mode("overwrite").parquet(f"{out}/{BATCH}={upto}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def land_stream(
@@ -78,22 +98,24 @@ def land_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         # both sinks below read it; kept so that the source is read once
         envelopes = envelope.extract_payload(batch).persist()
-        good, bad = envelope.split_quarantine(envelopes)
-        staged = envelope.landing_partitions(good).withColumns(
-            {"entity": envelope.route_entity(F.col("event_type")), "batch": F.lit(batch_id)}
-        )
-        columns = ["entity", "date", "hour", "batch"] if by_hour else ["entity", "date", "batch"]
-        if not by_hour:
-            staged = staged.drop("hour")
-        (
-            staged.hint("rebalance", *columns[:-1])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*columns)
-            .json(path)
-        )
-        bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
-        envelopes.unpersist()
+        try:
+            good, bad = envelope.split_quarantine(envelopes)
+            staged = envelope.landing_partitions(good).withColumns(
+                {"entity": envelope.route_entity(F.col("event_type")), "batch": F.lit(batch_id)}
+            )
+            columns = ["entity", "date", "hour", "batch"] if by_hour else ["entity", "date", "batch"]
+            if not by_hour:
+                staged = staged.drop("hour")
+            (
+                staged.hint("rebalance", *columns[:-1])
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*columns)
+                .json(path)
+            )
+            bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        finally:
+            envelopes.unpersist()
 
     return _start(events, checkpoint, write, "append", trigger or {"availableNow": True})
 
@@ -141,19 +163,21 @@ def change_feed_stream(
         spark = batch.sparkSession
         # used by several branches below; kept so that the source is read once
         batch = batch.select(*keep).persist()
-        rows, known = batch.withColumn("_new", F.lit(True)), batch
-        if batch_id > 0:
-            past = last_images(spark, batch_id, batch.schema)
-            mine = past.join(batch.select(key).distinct(), key, "left_semi")
-            before = latest_per_key(mine, [key], [time, sequence]).select(*keep)
-            rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
-            if batch_id % full_every == 0:
-                known = batch.unionByName(past)
-        fed = state.change_feed(rows, key, time, sequence, columns, hot_rows).filter("_new").drop("_new")
-        fed.write.mode("overwrite").parquet(f"{feed}/{BATCH}={batch_id}")
-        last = latest_per_key(known, [key], [time, sequence])
-        last.write.mode("overwrite").parquet(f"{tails}/{BATCH}={batch_id}")
-        batch.unpersist()
+        try:
+            rows, known = batch.withColumn("_new", F.lit(True)), batch
+            if batch_id > 0:
+                past = last_images(spark, batch_id, batch.schema)
+                mine = past.join(batch.select(key).distinct(), key, "left_semi")
+                before = latest_per_key(mine, [key], [time, sequence]).select(*keep)
+                rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
+                if batch_id % full_every == 0:
+                    known = batch.unionByName(past)
+            fed = state.change_feed(rows, key, time, sequence, columns, hot_rows).filter("_new").drop("_new")
+            fed.write.mode("overwrite").parquet(f"{feed}/{BATCH}={batch_id}")
+            last = latest_per_key(known, [key], [time, sequence])
+            last.write.mode("overwrite").parquet(f"{tails}/{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
 
     return _start(versions, checkpoint, write, "append", trigger or {"availableNow": True})
 

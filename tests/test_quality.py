@@ -26,6 +26,18 @@ def hours_back(n):
     return AS_OF.replace(minute=0) - timedelta(hours=n)
 
 
+def test_silent_series_are_reported(spark):
+    moments = [hours_back(24 * 60), hours_back(1), hours_back(25)]
+    mixed = events(spark, moments)
+    gaps = {r.series: r.status for r in quality.hourly_gaps(mixed, now(), by="k").collect()}
+    assert gaps == {0: "FAIL", 1: "FAIL", 2: "FAIL"}
+    counts = {r.series: (r.current_count, r.status) for r in quality.count_anomaly(mixed, now(), by="k").collect()}
+    assert counts == {0: (0, "PASS"), 1: (1, "PASS"), 2: (0, "FAIL")}
+    listed = spark.createDataFrame([(7,), (1,)], "series bigint")
+    assert {r.series for r in quality.hourly_gaps(mixed, now(), by="k", expected=listed).collect()} == {1, 7}
+    assert {r.series for r in quality.count_anomaly(mixed, now(), by="k", expected=listed).collect()} == {1, 7}
+
+
 def test_gaps_include_the_running_hour(spark):
     full = events(spark, [hours_back(h) + timedelta(minutes=5) for h in range(24)])
     assert quality.hourly_gaps(full, now()).first().status == "PASS"
