@@ -146,7 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = 6
     without others, there are no terms and every text gets the same severity, below the bar.
     """
     usable = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    texts = docs.select("doc_id", "text").join(usable, "doc_id").select("doc_id", "text", "toxic")
+    # The labels grow with the corpus: the same plan at every size, texts are shuffled once and not sorted.
+    texts = docs.select("doc_id", "text").join(usable.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "toxic")
     terms = telling_terms(texts.select("text", "toxic"))
     if not terms:
         return Model({}, np.zeros(0), np.array([3.0, 4.0, 5.0]))
