@@ -5,6 +5,10 @@ aggregates that combine before the shuffle, or treat hot keys apart: the rows of
 cut into cells by a list of levels, coarse to fine, each a whole number that never falls as the
 wanted order rises. Rows are ordered inside a cell only, and small tables with one row per cell
 carry the result from cell to cell. Every other key is a single cell.
+
+The hot keys and the table of one row per cell are checkpointed, so the rows themselves are read
+for the count, for the cells and for the result, however many levels there are. Without hot keys
+the result is a plain window; it is the same either way.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartlake.operators.skew import HOT_ROWS, hot_keys
+from cartlake.session import checkpointed
 
 # 2^20 consecutive ids per cell: as ids are unique, no finest cell can hold more rows.
 ID_BLOCK_BITS = 20
@@ -59,18 +64,19 @@ def most_frequent(df: DataFrame, keys: list[str], column: str, extra: list[Colum
     return counted.groupBy(*keys).agg(pick.alias(column), *(extra or []))
 
 
-def _cells(
-    df: DataFrame, keys: list[str], levels: list[Column], hot_rows: int, hot: DataFrame | None
-) -> tuple[DataFrame, list[str]]:
+def _cells(df: DataFrame, keys: list[str], levels: list[Column], hot: DataFrame) -> tuple[DataFrame, list[str]]:
     """Rows with their cell: the levels for a hot key, one common cell for any other."""
     names = [f"_cell{i}" for i in range(len(levels))]
-    known = hot if hot is not None else hot_keys(df, keys, hot_rows)
-    hot = known.select(*keys, F.lit(True).alias("_hot"))
-    tagged = df.join(F.broadcast(hot), keys, "left")
+    tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     cells = {n: F.when(F.col("_hot"), v).otherwise(F.lit(0).cast("bigint")) for n, v in zip(names, levels)}
     return tagged.withColumns(cells), names
 
 
+def _known_hot(df: DataFrame, keys: list[str], hot_rows: int, hot: DataFrame | None) -> DataFrame:
+    """The hot keys, counted once: every later step reads the checkpoint and not the table again."""
+    return checkpointed(df.sparkSession, hot if hot is not None else hot_keys(df, keys, hot_rows))
+
+
 def _split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return df.filter(known), df.filter(~known)
@@ -87,9 +93,14 @@ def split_row_number(
 ) -> DataFrame:
     """``row_number`` per key, hot keys cut into ``levels``; rows without a key get NULL."""
     known, unknown = _split_null_keys(df, keys)
-    staged, cells = _cells(known, keys, levels, hot_rows, hot)
+    hot = _known_hot(known, keys, hot_rows, hot)
+    if hot.isEmpty():
+        plain = known.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+        return plain.unionByName(unknown.withColumn(name, F.lit(None).cast("bigint")))
+    staged, cells = _cells(known, keys, levels, hot)
     leaf = keys + cells
     totals = staged.filter("_hot").groupBy(*leaf).agg(F.count(F.lit(1)).alias("_n"))
+    totals = checkpointed(df.sparkSession, totals)
     offsets = totals.withColumn("_before", F.lit(0).cast("bigint"))
     for depth in range(len(cells)):
         group, parent = keys + cells[: depth + 1], keys + cells[:depth]
@@ -119,10 +130,15 @@ def split_lag(
 ) -> DataFrame:
     """Struct of ``columns`` of the previous row of the key, NULL on the first row."""
     known, unknown = _split_null_keys(df, keys)
-    staged, cells = _cells(known, keys, levels, hot_rows, hot)
-    leaf = keys + cells
+    hot = _known_hot(known, keys, hot_rows, hot)
     image, rank = F.struct(*columns), F.struct(*order)
+    if hot.isEmpty():
+        plain = known.withColumn(name, F.lag(image).over(W.partitionBy(*keys).orderBy(*order)))
+        return plain.unionByName(unknown.withColumn(name, F.lit(None).cast(plain.schema[name].dataType)))
+    staged, cells = _cells(known, keys, levels, hot)
+    leaf = keys + cells
     tails = staged.filter("_hot").groupBy(*leaf).agg(F.max_by(image, rank).alias("_tail"), F.max(rank).alias("_rank"))
+    tails = checkpointed(df.sparkSession, tails)
     heads = tails.select(*leaf, F.lit(None).cast(tails.schema["_tail"].dataType).alias("_prev"))
     for depth in reversed(range(len(cells))):
         group, parent = keys + cells[: depth + 1], keys + cells[:depth]
