@@ -4,6 +4,9 @@ A fingerprint has ``words`` words of 64 bits. Equal fingerprints are one class.
 (population count, or shingle-count band); only tiles of bands within reach are compared, every pair in them,
 in numpy blocks. A tile returns a forest of its links, not the pairs, so a group of copies costs no more rows
 than it has members; the forests meet in distributed connected components.
+
+Where a plan asks for a similarity, fingerprints only find candidates. Every pair that is similar is in one component
+of candidates, so the shingle sets of such a component meet in tiles, and only pairs that reach the similarity link.
 """
 
 from __future__ import annotations
@@ -17,13 +20,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import mapped, settle
+from cartlake.llm.common import mapped, row_id, settle
 from cartlake.llm.components import components
 
 SEED = 42
 #: Fingerprints of a tile side: 32,768 rows of 64 bits are 256 KB, and a block of 256 rows against them 64 MB.
 TILE = 32_768
 BLOCK = 256
+#: Shingle sets, and shingles in them, of a side where sets are compared: 8 MB.
+SETS = 512
+SHINGLES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -32,7 +38,8 @@ class Plan:
 
     ``distinct`` counts a repeated shingle once. ``size_ratio`` r: only texts whose numbers of shingles are within
     r of each other are compared, as a Jaccard similarity of 1 / r or more implies; without it bands are population
-    counts. ``screen`` (words, bits): a pair is dropped when its first words differ in more bits.
+    counts. ``screen`` (words, bits): a pair is dropped when its first words differ in more bits. ``similarity``: what
+    the radius finds are candidates, which link when the Jaccard similarity of their shingle sets is as much.
     """
 
     shingle: int = 3
@@ -41,19 +48,20 @@ class Plan:
     distinct: bool = False
     size_ratio: float | None = None
     screen: tuple[int, int] | None = None
+    similarity: float | None = None
 
 
 def similar(similarity: float = 0.8, shingle: int = 5, words: int = 8, sigmas: float = 2.5) -> Plan:
     """The plan that links texts whose shingle sets have a Jaccard similarity of ``similarity`` or more.
 
     The share of differing bits estimates the angle between two shingle sets, and their cosine is at least
-    2s / (1 + s). The radius is that angle and ``sigmas`` standard deviations of the estimate more.
+    2s / (1 + s). The radius, for candidates, is that angle and ``sigmas`` standard deviations of the estimate more.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = 64 * words
     share = p + sigmas * math.sqrt(p * (1 - p) / bits)
     most = int(128 * share + 4.2 * math.sqrt(128 * share * (1 - share)))
-    return Plan(shingle, words, int(bits * share), True, 1 / similarity, (2, most) if words > 2 else None)
+    return Plan(shingle, words, int(bits * share), True, 1 / similarity, (2, most) if words > 2 else None, similarity)
 
 
 def _spread(h: np.ndarray, words: int) -> np.ndarray:
@@ -68,38 +76,51 @@ def _spread(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, plan: Plan) -> tuple[bytes, int]:
-    """Little-endian fingerprint and number of shingles; no words: zero and 0."""
+def shingles(text: str | None, plan: Plan) -> np.ndarray:
+    """Hashes of the shingles; of a plan with distinct ones in order. Fewer words than a shingle's are one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * plan.words), 0
+        return np.empty(0, np.uint64)
     size = min(plan.shingle, len(words))
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))[: len(words) - size + 1].tolist()
     digest = xxhash.xxh64_intdigest
     h = np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[size - 1 :].tolist())), np.uint64, len(starts))
-    if plan.distinct:
-        h = np.unique(h)
+    return np.unique(h) if plan.distinct else h
+
+
+def set_key(h: np.ndarray) -> bytes:
+    """Names a shingle set."""
+    return xxhash.xxh3_128_digest(h.tobytes())
+
+
+def fingerprint(h: np.ndarray, plan: Plan) -> bytes:
+    """Little-endian fingerprint of shingles; zero where there are none."""
     counts = np.zeros(64 * plan.words, np.int64)
     for at in range(0, len(h), 2048):  # bounded memory for very long texts
         bits = np.unpackbits(_spread(h[at : at + 2048], plan.words).view(np.uint8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(h), bitorder="little").tobytes(), len(h)
+    return np.packbits(counts * 2 > len(h), bitorder="little").tobytes()
 
 
 def fingerprints(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """``(doc_id, text)`` to ``(doc_id, fp binary, band int)``, a row for each row. A null text is an empty one."""
+    """``(doc_id, text)`` to ``(doc_id, fp binary, band int, n int, own binary)``, a row for each row.
+
+    ``n``: shingles. ``own``: names the shingle set where sets are compared, else empty. A null text is an empty one.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = [fingerprint(t, plan) for t in batch.column("text").to_pylist()]
-        fps = [f for f, _ in found]
+        fps, sizes, own = [], [], []
+        for text in batch.column("text").to_pylist():
+            h = shingles(text, plan)
+            fps.append(fingerprint(h, plan)), sizes.append(len(h)), own.append(set_key(h) if plan.similarity else b"")
         if plan.size_ratio:
-            band = [int(math.log(n) / math.log(plan.size_ratio)) if n else -2 for _, n in found]
+            band = [int(math.log(n) / math.log(plan.size_ratio)) if n else -2 for n in sizes]
         else:
             band = [int.from_bytes(f, "little").bit_count() for f in fps]
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32())}
+        return {"doc_id": batch.column("doc_id"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32()), "n": pa.array(sizes, pa.int32()), "own": pa.array(own, pa.binary())}
 
-    return mapped(docs.select("doc_id", "text"), run, "doc_id bigint, fp binary, band int")
+    return mapped(docs.select("doc_id", "text"), run, "doc_id bigint, fp binary, band int, n int, own binary")
 
 
 def _roots(parent: np.ndarray) -> np.ndarray:
@@ -184,6 +205,84 @@ def linked(classes: DataFrame, plan: Plan) -> DataFrame:
     return tiles.groupBy("tile").applyInArrow(run, "a bigint, b bigint")
 
 
+def alike(node: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one tile of shingle sets as (node, smaller node of its tree): Jaccard ``similarity`` or more.
+
+    Rows go by size, so what may be similar to a row is a run of rows, whose shingles are looked up at once. Rows that
+    are in the row's tree already are linked, and not compared when nothing else is in the run.
+    """
+    size = np.array([len(h) for h in sets], np.int64)
+    order = np.lexsort((node, size))
+    order = order[size[order] > 0]
+    node, size, left, right = node[order], size[order], left[order], right[order]
+    if not len(node):
+        return node, node
+    words, place = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(size)))
+    seen, parent = np.zeros(len(words), bool), np.arange(len(node))
+    for i in np.flatnonzero(left):
+        lo, hi = np.searchsorted(size, similarity * size[i] - 1), np.searchsorted(size, size[i] / similarity + 1, "right")
+        open_ = right[lo:hi] & (parent[lo:hi] != parent[i])
+        if not open_.any():
+            continue
+        mine = place[starts[i] : starts[i + 1]]
+        seen[mine] = True
+        both = np.add.reduceat(seen[place[starts[lo] : starts[hi]]], starts[lo:hi] - starts[lo], dtype=np.int64)
+        seen[mine] = False
+        y = lo + np.flatnonzero(open_ & (both / (size[i] + size[lo:hi] - both) >= similarity))
+        parent = _unite(parent, np.full(len(y), i), y)
+    # The smallest node of a tree stands for it.
+    least = np.full(len(node), np.iinfo(np.int64).max)
+    np.minimum.at(least, parent, node)
+    moved = least[parent] != node
+    return node[moved], least[parent][moved]
+
+
+def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
+    """Links ``(a, b)`` of ``classes`` with the same components as all pairs of classes with similar shingle sets.
+
+    The sets are made again from the texts of those classes only that have a candidate.
+    """
+    met = components(linked(classes, plan)).withColumnRenamed("component", "part")
+    met = settle(met.join(classes.select("node", "n", "own", F.col("first").alias("doc_id")), "node"), "simhash-met")
+    blocks = F.ceil(F.greatest(F.count("*") / SETS, F.sum("n") / SHINGLES)).cast("int")
+    parts = settle(met.groupBy("part").agg(blocks.alias("blocks")), "simhash-parts")
+    asked = settle(met.join(parts, "part"), "simhash-asked")
+
+    def made(batch: pa.RecordBatch) -> dict:
+        sets = [shingles(t, plan) for t in batch.column("text").to_pylist()]
+        # Another text of the same doc_id is another class.
+        same = pa.array([set_key(h) == own for h, own in zip(sets, batch.column("own").to_pylist())], pa.bool_())
+        held = pa.array([h.tobytes() for h in sets], pa.binary())
+        return {k: batch.column(k).filter(same) for k in ("node", "part", "blocks")} | {"held": held.filter(same)}
+
+    texts = docs.select("doc_id", "text").join(asked, "doc_id").select("node", "part", "blocks", "own", "text")
+    sets = mapped(texts, made, "node bigint, part bigint, blocks int, held binary")
+    sets = settle(sets.groupBy("node", "part", "blocks").agg(F.any_value("held").alias("held")), "simhash-sets")
+    put = sets.withColumn("at", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    put = put.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("at") == F.col("with"), 0).when(F.col("at") < F.col("with"), 1).otherwise(2)
+    tiles = put.select("node", "held", "part", F.least("at", "with").alias("lo"), F.greatest("at", "with").alias("hi"), side.alias("side"))
+
+    def run(group: pa.Table) -> pa.Table:
+        node, side = group.column("node").to_numpy(), group.column("side").to_numpy()
+        held = [np.frombuffer(x, np.uint64) for x in group.column("held").to_pylist()]
+        a, b = alike(node, held, side != 2, side != 1, plan.similarity)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return tiles.groupBy("part", "lo", "hi").applyInArrow(run, "a bigint, b bigint")
+
+
+def _homes(docs: DataFrame, fps: DataFrame, plan: Plan) -> DataFrame:
+    """``(node, component, first, fp, band, own)`` per class of ``fps``: ``first`` is its smallest doc_id."""
+    each = fps.where("doc_id is not null").groupBy("fp", "band", "n", "own").agg(F.min("doc_id").alias("first"))
+    # Numbers of their own: several classes can have a doc_id. They are fixed by being written.
+    classes = settle(each.withColumn("node", row_id()), "simhash-class")
+    links = similar_links(docs, classes, plan) if plan.similarity else linked(classes, plan)
+    found = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return settle(found.select("node", "component", "first", "fp", "band", "own"), "simhash-home")
+
+
 def groups(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """``(doc_id, text)`` to ``(doc_id, fp, component_id)``, a row for each row.
 
@@ -192,12 +291,10 @@ def groups(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     null component. An empty table gives an empty table; other columns are ignored.
     """
     fps = settle(fingerprints(docs, plan), "simhash")
-    classes = settle(
-        fps.where("doc_id is not null").groupBy("fp", "band").agg(F.min("doc_id").alias("node")).select("node", "fp", "band"), "simhash-class"
-    )
-    found = components(linked(classes, plan))
-    homes = settle(classes.join(found, "node", "left").select("fp", "band", F.coalesce("component", "node").alias("component_id")), "simhash-home")
-    out = fps.where("doc_id is not null").join(homes, ["fp", "band"]).select("doc_id", "fp", "component_id")
+    homes = _homes(docs, fps, plan)
+    least = settle(homes.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-least")
+    named = settle(homes.join(least, "component").select("fp", "band", "own", "component_id"), "simhash-named")
+    out = fps.where("doc_id is not null").join(named, ["fp", "band", "own"]).select("doc_id", "fp", "component_id")
     return out.union(fps.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("bigint").alias("component_id")))
 
 
@@ -209,10 +306,11 @@ def hex_digits(fp: Column | str) -> Column:
 def deduplicate(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, that with the smallest doc_id.
 
-    Default: five-word shingles, similarity 0.8. Rows that repeat a doc_id and its text are one document; rows
+    Default: sets of five-word shingles, Jaccard similarity 0.8 or more, by the sets themselves. Rows that repeat a doc_id and its text are one document; rows
     with a null doc_id stay as they are. All columns are kept.
     """
-    found = groups(docs.select("doc_id", "text"), plan or similar())
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    plan = plan or similar()
+    homes = _homes(docs, settle(fingerprints(docs, plan), "simhash"), plan)
+    first = homes.groupBy("component").agg(F.min("first").alias("doc_id")).select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -108,3 +108,47 @@ def test_similarity_plan(spark):
         rows += [(2 * k, " ".join(words), "en", "s", 1), (2 * k + 1, " ".join(edited), "en", "s", 1)]
     kept = sorted(r.doc_id for r in simhash.deduplicate(spark.createDataFrame(rows, DOCS)).collect())
     assert kept == list(range(0, 120, 2))
+
+
+def five_word_sets(rows):
+    words = {i: t.split() for i, t in rows}
+    return {i: {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+
+
+def groups_of_sets(rows, similarity=0.8):
+    """Smallest id per id, by all pairs of shingle sets."""
+    sets, parent = five_word_sets(rows), {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in parent}
+
+
+def by_sets(spark, rows):
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    assert {r.doc_id: r.component_id for r in simhash.groups(df, simhash.similar()).collect()} == (want := groups_of_sets(rows))
+    assert sorted(r.doc_id for r in simhash.deduplicate(df).collect()) == sorted(set(want.values()))
+    return want
+
+
+def test_every_link_reaches_the_similarity(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SETS", 8)
+    rng, rows = np.random.default_rng(8), []
+    for k in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 10 if k % 2 else int(rng.integers(100, 400)))]
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(["other"] + words[1:]) if k % 2 else " ".join(words[: -(len(words) // 4)]))]
+        rows += [(3 * k + 2, " ".join(words[:-1]))] if not k % 2 else []
+    # Pages of one template: any two are near each other, and not as near as 0.8.
+    frame = [f"t{x}" for x in range(400)]
+    for k in range(40):
+        rows.append((1000 + k, " ".join(frame + [f"p{k}x{x}" for x in range(60)])))
+    want = by_sets(spark, rows)
+    assert len(set(want.values())) == 40 + 40 + 40
