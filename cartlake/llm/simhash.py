@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ SEED = 42
 #: Fingerprints of a tile side: 32,768 rows of 64 bits are 256 KB, and a block of 256 rows against them 64 MB.
 TILE = 32_768
 BLOCK = 256
+#: Up to so many shingles the bits that two sets differ in are counted exactly, ties included.
+FEW = 64
 #: Shingle sets, and shingles in them, of a side where sets are compared: 8 MB.
 SETS = 512
 SHINGLES = 1_000_000
@@ -40,6 +43,7 @@ class Plan:
     r of each other are compared, as a Jaccard similarity of 1 / r or more implies; without it bands are population
     counts. ``screen`` (words, bits): a pair is dropped when its first words differ in more bits. ``similarity``: what
     the radius finds are candidates, which link when the Jaccard similarity of their shingle sets is as much.
+    ``few``: for sets of 0, 1, ... shingles a radius and a bound of the screen of their own.
     """
 
     shingle: int = 3
@@ -49,19 +53,54 @@ class Plan:
     size_ratio: float | None = None
     screen: tuple[int, int] | None = None
     similarity: float | None = None
+    few: tuple[tuple[int, int], ...] = ()
 
 
-def similar(similarity: float = 0.8, shingle: int = 5, words: int = 8, sigmas: float = 2.5) -> Plan:
+def _halves(n: int) -> np.ndarray:
+    """Chances of 0 to n heads of n coins."""
+    return np.array([math.comb(n, k) / 2**n for k in range(n + 1)])
+
+
+def differing(n: int, m: int, both: int) -> float:
+    """Chance that a bit of the fingerprints of ``n`` and ``m`` shingles, ``both`` of them common, differs.
+
+    A bit is one where more than half of the shingles' bits are; ties are zeros, so that small even sets lean to 0.
+    """
+
+    def over(size: int) -> np.ndarray:
+        tail = np.append(np.cumsum(_halves(size - both)[::-1])[::-1], 0.0)
+        return tail[np.clip(size // 2 - np.arange(both + 1) + 1, 0, size - both + 1)]
+
+    a, b = over(n), over(m)
+    return float((_halves(both) * (a * (1 - b) + b * (1 - a))).sum())
+
+
+@lru_cache
+def _most_differing(similarity: float) -> tuple[float, ...]:
+    """For 0 to FEW shingles: the largest chance of a differing bit over all sets that are similar enough."""
+    out = [0.0]
+    for n in range(1, FEW + 1):
+        sizes = range(math.floor(similarity * n), math.ceil(n / similarity) + 1)
+        met = [(m, c) for m in sizes for c in range(1, min(n, m) + 1) if c / (n + m - c) >= similarity]
+        out.append(max(differing(n, m, c) for m, c in met))
+    return tuple(out)
+
+
+def similar(similarity: float = 0.8, shingle: int = 5, words: int = 8, sigmas: float = 5) -> Plan:
     """The plan that links texts whose shingle sets have a Jaccard similarity of ``similarity`` or more.
 
     The share of differing bits estimates the angle between two shingle sets, and their cosine is at least
-    2s / (1 + s). The radius, for candidates, is that angle and ``sigmas`` standard deviations of the estimate more.
+    2s / (1 + s); few shingles differ in more bits, by their number. The radius, for candidates, and the bound of the
+    screen are that share and ``sigmas`` standard deviations of it more.
     """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bits = 64 * words
-    share = p + sigmas * math.sqrt(p * (1 - p) / bits)
-    most = int(128 * share + 4.2 * math.sqrt(128 * share * (1 - share)))
-    return Plan(shingle, words, int(bits * share), True, 1 / similarity, (2, most) if words > 2 else None, similarity)
+
+    def most(p: float, bits: int) -> int:
+        return int(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
+
+    odds = _most_differing(similarity)
+    p = max(math.acos(2 * similarity / (1 + similarity)) / math.pi, *odds[FEW // 2 :])
+    few = tuple((most(x, 64 * words), most(x, 128)) for x in odds)
+    return Plan(shingle, words, most(p, 64 * words), True, 1 / similarity, (2, most(p, 128)) if words > 2 else None, similarity, few)
 
 
 def _spread(h: np.ndarray, words: int) -> np.ndarray:
@@ -142,17 +181,23 @@ def _unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         parent = _roots(parent)
 
 
-def forest(node: np.ndarray, fps: np.ndarray, left: np.ndarray, right: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+def forest(node: np.ndarray, fps: np.ndarray, left: np.ndarray, right: np.ndarray, plan: Plan, size: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links of one tile as (node, smaller node of its tree). ``left`` / ``right`` say which side rows are on.
 
     Both sides are walked in the order of the population count of the first word, and rows of a block meet only
-    the rows whose count is within the bits that the first word may differ by.
+    the rows whose count is within the bits that the first word may differ by. ``size``: shingles of the rows, where
+    the plan has bounds for few.
     """
     order = np.argsort(node, kind="stable")
     node, fps, left, right = node[order], fps[order], left[order], right[order]
     count = np.bitwise_count(fps[:, 0]).astype(np.int64)
     screened, most = plan.screen or (plan.words, plan.radius)
-    reach = min(most, 64)
+    radii, bounds = np.full(len(node), plan.radius), np.full(len(node), most)
+    if plan.few:
+        few = np.flatnonzero(size[order] < len(plan.few))
+        own = np.array(plan.few)[size[order][few]]
+        radii[few], bounds[few] = own[:, 0], own[:, 1] if plan.screen else own[:, 0]
+    reach = min(int(bounds.max(initial=0)), 64)
     a, b = np.flatnonzero(left), np.flatnonzero(right)
     a, b = a[np.argsort(count[a], kind="stable")], b[np.argsort(count[b], kind="stable")]
     cols, counted, parent = [np.ascontiguousarray(fps[b, k]) for k in range(plan.words)], count[b], np.arange(len(node))
@@ -165,10 +210,10 @@ def forest(node: np.ndarray, fps: np.ndarray, left: np.ndarray, right: np.ndarra
         differ = np.bitwise_count(fps[rows, 0][:, None] ^ cols[0][None, lo:hi])
         for k in range(1, screened):
             differ = differ.astype(np.uint16) + np.bitwise_count(fps[rows, k][:, None] ^ cols[k][None, lo:hi])
-        x, y = np.nonzero(differ <= most)
+        x, y = np.nonzero(differ <= bounds[rows][:, None])
         x, y = rows[x], b[lo:hi][y]
         if screened < plan.words:
-            near = np.bitwise_count(fps[x] ^ fps[y]).sum(axis=1, dtype=np.int64) <= plan.radius
+            near = np.bitwise_count(fps[x] ^ fps[y]).sum(axis=1, dtype=np.int64) <= radii[x]
             x, y = x[near], y[near]
         parent = _unite(parent, x, y)
     moved = np.flatnonzero(parent != np.arange(len(node)))
@@ -179,7 +224,7 @@ def _tiles(classes: DataFrame, reach: int) -> DataFrame:
     """Each class once for every tile it belongs to: its own block, and the blocks of bands within reach."""
     sizes = {r.band: r.n for r in classes.groupBy("band").agg(F.count("*").alias("n")).collect()}  # a few hundred bands
     if not sizes:
-        return classes.where("false").select("node", "fp", F.lit("").alias("tile"), F.lit(0).alias("side"))
+        return classes.where("false").select("node", "fp", "n", F.lit("").alias("tile"), F.lit(0).alias("side"))
     blocks = {b: -(-n // TILE) for b, n in sizes.items()}
     n_of = F.create_map(*[F.lit(x) for item in blocks.items() for x in item])
     own = classes.withColumn("block", F.pmod(F.xxhash64("fp"), n_of[F.col("band")]).cast("int"))
@@ -189,16 +234,20 @@ def _tiles(classes: DataFrame, reach: int) -> DataFrame:
     me, you = F.struct("band", "block"), F.struct(F.col("with").alias("band"), F.col("at").alias("block"))
     tile = F.concat_ws("/", F.least(me, you)["band"], F.least(me, you)["block"], F.greatest(me, you)["band"], F.greatest(me, you)["block"])
     side = F.when(me == you, 0).when(me < you, 1).otherwise(2)
-    return met.select("node", "fp", tile.alias("tile"), side.alias("side"))
+    return met.select("node", "fp", "n", tile.alias("tile"), side.alias("side"))
 
 
 def linked(classes: DataFrame, plan: Plan) -> DataFrame:
-    """``classes(node, fp, band)`` with its nodes to links ``(a, b)`` that have the same components as all pairs."""
+    """``classes(node, fp, band)`` with its nodes to links ``(a, b)`` that have the same components as all pairs.
+
+    A plan with bounds for few shingles needs their number as ``n``.
+    """
+    classes = classes if plan.few else classes.withColumn("n", F.lit(0))
 
     def run(group: pa.Table) -> pa.Table:
         node, side = group.column("node").to_numpy(), group.column("side").to_numpy()
         fps = np.frombuffer(b"".join(group.column("fp").to_pylist()), np.uint64).reshape(-1, plan.words)
-        a, b = forest(node, fps, side != 2, side != 1, plan)
+        a, b = forest(node, fps, side != 2, side != 1, plan, group.column("n").to_numpy())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     tiles = _tiles(classes, 1 if plan.size_ratio else plan.radius)

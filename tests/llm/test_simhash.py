@@ -140,7 +140,7 @@ def by_sets(spark, rows):
 
 
 def test_every_link_reaches_the_similarity(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SETS", 8)
+    monkeypatch.setattr(simhash, "SETS", 8, raising=False)
     rng, rows = np.random.default_rng(8), []
     for k in range(40):
         words = [f"w{x}" for x in rng.integers(0, 10**6, 10 if k % 2 else int(rng.integers(100, 400)))]
@@ -152,3 +152,24 @@ def test_every_link_reaches_the_similarity(spark, monkeypatch):
         rows.append((1000 + k, " ".join(frame + [f"p{k}x{x}" for x in range(60)])))
     want = by_sets(spark, rows)
     assert len(set(want.values())) == 40 + 40 + 40
+
+
+def test_short_texts_against_all_pairs(spark):
+    rng, rows = np.random.default_rng(4), []
+    for k in range(400):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 8 if k < 200 else int(rng.integers(5, 26)))]
+        other = words + ["more"] if k < 200 else words[: len(words) - int(rng.integers(0, 3))]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    by_sets(spark, rows)
+
+
+def test_differing_bits_of_few_shingles():
+    assert simhash.differing(4, 5, 4) == 0.1875 and simhash.differing(3, 3, 3) == 0
+    rng = np.random.default_rng(6)
+    for n, m, both in ((4, 5, 4), (8, 8, 7), (13, 14, 12), (30, 33, 28)):
+        words = rng.integers(0, 2**63, n + m - both).astype(np.uint64)
+        plan = simhash.Plan(5, 256, distinct=True)
+        a, b = (np.frombuffer(simhash.fingerprint(h, plan), np.uint64) for h in (words[:n], words[-m:]))
+        assert abs(np.bitwise_count(a ^ b).sum() / 2**14 - simhash.differing(n, m, both)) < 0.015
+    plan = simhash.similar()
+    assert plan.few[4] == (140, 46) and plan.few[3] == (0, 0) and all(r <= plan.radius for r, _ in plan.few[simhash.FEW // 2 :])
