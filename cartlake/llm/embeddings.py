@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import mapped, settle
+from cartlake.llm.common import mapped, row_id, settle
 from cartlake.llm.components import components
 from cartlake.llm.simhash import _unite
 
@@ -128,8 +128,9 @@ def links(vectors: DataFrame, cosine: float = 0.98, bits: int = BITS, miss: floa
     signed = settle(_signed(vectors, tables, bits), "embed-signs")
     usable = signed.where("class is not null and vec_id is not null")
     # One row of a class carries the vector; which one does not matter.
-    each = usable.groupBy("class").agg(F.min("vec_id").alias("node"), F.count("*").alias("size"), F.any_value("label").alias("label"), F.any_value("unit").alias("unit"), F.any_value("signs").alias("signs"))
-    classes = settle(each.withColumn("dims", F.octet_length("unit")), "embed-classes")
+    each = usable.groupBy("class").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"), F.any_value("label").alias("label"), F.any_value("unit").alias("unit"), F.any_value("signs").alias("signs"))
+    # Numbers of their own: several classes can have a vec_id. They are fixed by being written.
+    classes = settle(each.withColumn("dims", F.octet_length("unit")).withColumn("node", row_id()), "embed-classes")
     tiles = settle(_tiles(classes), "embed-tiles")
     full = tiles.join(classes.select("node", "label", "dims", "size", "unit", "signs"), ["node", "label"])
     full = full.repartition("tile").sortWithinPartitions("tile", "table", "label", "dims")
@@ -153,8 +154,10 @@ def links(vectors: DataFrame, cosine: float = 0.98, bits: int = BITS, miss: floa
     found = settle(full.mapInArrow(run, "node bigint, n bigint, root bigint"), "embed-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     homes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = classes.select("class", "node", "size").join(counts, "node", "left").join(homes, "node", "left")
-    known = settle(known.select("class", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id")), "embed-homes")
+    known = classes.select("class", "first", "node", "size").join(counts, "node", "left").join(homes, "node", "left")
+    known = settle(known.select("class", "first", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component")), "embed-homes")
+    least = settle(known.groupBy("component").agg(F.min("first").alias("component_id")), "embed-least")
+    known = settle(known.join(least, "component").select("class", "n_links", "component_id"), "embed-named")
     out = usable.select("vec_id", "class").join(known, "class").select("vec_id", "n_links", "component_id")
     rest = signed.where("class is null or vec_id is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.union(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

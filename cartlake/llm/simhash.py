@@ -143,9 +143,10 @@ def fingerprint(h: np.ndarray, plan: Plan) -> bytes:
 
 
 def fingerprints(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """``(doc_id, text)`` to ``(doc_id, fp binary, band int, n int, own binary)``, a row for each row.
+    """``(doc_id, text)`` to ``(doc_id, text_key, fp binary, band int, n int, own binary)``, a row for each row.
 
-    ``n``: shingles. ``own``: names the shingle set where sets are compared, else empty. A null text is an empty one.
+    ``text_key``: tells the texts of a doc_id apart. ``n``: shingles. ``own``: names the shingle set where sets are
+    compared, else empty. A null text is an empty one.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -157,9 +158,10 @@ def fingerprints(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
             band = [int(math.log(n) / math.log(plan.size_ratio)) if n else -2 for n in sizes]
         else:
             band = [int.from_bytes(f, "little").bit_count() for f in fps]
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32()), "n": pa.array(sizes, pa.int32()), "own": pa.array(own, pa.binary())}
+        return {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32()), "n": pa.array(sizes, pa.int32()), "own": pa.array(own, pa.binary())}
 
-    return mapped(docs.select("doc_id", "text"), run, "doc_id bigint, fp binary, band int, n int, own binary")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return mapped(keyed, run, "doc_id bigint, text_key bigint, fp binary, band int, n int, own binary")
 
 
 def _roots(parent: np.ndarray) -> np.ndarray:
@@ -293,7 +295,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     The sets are made again from the texts of those classes only that have a candidate.
     """
     met = components(linked(classes, plan)).withColumnRenamed("component", "part")
-    met = settle(met.join(classes.select("node", "n", "own", F.col("first").alias("doc_id")), "node"), "simhash-met")
+    met = settle(met.join(classes.select("node", "n", "own", F.col("first.doc_id").alias("doc_id")), "node"), "simhash-met")
     blocks = F.ceil(F.greatest(F.count("*") / SETS, F.sum("n") / SHINGLES)).cast("int")
     parts = settle(met.groupBy("part").agg(blocks.alias("blocks")), "simhash-parts")
     asked = settle(met.join(parts, "part"), "simhash-asked")
@@ -323,8 +325,8 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _homes(docs: DataFrame, fps: DataFrame, plan: Plan) -> DataFrame:
-    """``(node, component, first, fp, band, own)`` per class of ``fps``: ``first`` is its smallest doc_id."""
-    each = fps.where("doc_id is not null").groupBy("fp", "band", "n", "own").agg(F.min("doc_id").alias("first"))
+    """``(node, component, first, fp, band, own)`` per class of ``fps``: ``first`` is its smallest (doc_id, text_key)."""
+    each = fps.where("doc_id is not null").groupBy("fp", "band", "n", "own").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     # Numbers of their own: several classes can have a doc_id. They are fixed by being written.
     classes = settle(each.withColumn("node", row_id()), "simhash-class")
     links = similar_links(docs, classes, plan) if plan.similarity else linked(classes, plan)
@@ -341,7 +343,7 @@ def groups(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """
     fps = settle(fingerprints(docs, plan), "simhash")
     homes = _homes(docs, fps, plan)
-    least = settle(homes.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-least")
+    least = settle(homes.groupBy("component").agg(F.min("first.doc_id").alias("component_id")), "simhash-least")
     named = settle(homes.join(least, "component").select("fp", "band", "own", "component_id"), "simhash-named")
     out = fps.where("doc_id is not null").join(named, ["fp", "band", "own"]).select("doc_id", "fp", "component_id")
     return out.union(fps.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("bigint").alias("component_id")))
@@ -355,11 +357,16 @@ def hex_digits(fp: Column | str) -> Column:
 def deduplicate(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, that with the smallest doc_id.
 
+    Rows with the same doc_id and different texts are documents of their own; of such in one group one stays.
+
     Default: sets of five-word shingles, Jaccard similarity 0.8 or more, by the sets themselves. Rows that repeat a doc_id and its text are one document; rows
     with a null doc_id stay as they are. All columns are kept.
     """
     plan = plan or similar()
     homes = _homes(docs, settle(fingerprints(docs, plan), "simhash"), plan)
-    first = homes.groupBy("component").agg(F.min("first").alias("doc_id")).select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    first = homes.groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_key")
+    named = docs.where("doc_id is not null")
+    # Joined by doc_id alone, so that one shuffle of the texts serves the dropping of repeats too.
+    same = (named["doc_id"] == first["doc_id"]) & (F.xxhash64(named["text"]).bitwiseXOR(first["text_key"]) == 0)
+    kept = named.join(first, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))

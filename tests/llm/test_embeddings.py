@@ -81,3 +81,13 @@ def test_tables_reach_the_recall():
         other = near(rng, base, np.arccos(0.98))
         found += ((base @ p >= 0) == (other @ p >= 0)).reshape(tables, bits).all(axis=1).any()
     assert found == 300
+
+
+def test_a_vec_id_with_several_vectors(spark):
+    rng = np.random.default_rng(12)
+    a, b, c = ([float(x) for x in rng.normal(size=16)] for _ in range(3))
+    near_a = near(rng, np.array(a), 0.02)
+    rows = [(3, a, 1), (5, [float(x) for x in near_a], 1), (5, b, 1), (9, b, 1), (5, c, 1), (3, c, 1)]
+    rows = [(i, np.float32(v).tolist(), label) for i, v, label in rows]
+    df = spark.createDataFrame([(i, v, label, 0, "x") for i, v, label in rows], VECTORS)
+    assert got(embeddings.links(df)) == brute(rows)

@@ -173,3 +173,14 @@ def test_differing_bits_of_few_shingles():
         assert abs(np.bitwise_count(a ^ b).sum() / 2**14 - simhash.differing(n, m, both)) < 0.015
     plan = simhash.similar()
     assert plan.few[4] == (140, 46) and plan.few[3] == (0, 0) and all(r <= plan.radius for r, _ in plan.few[simhash.FEW // 2 :])
+
+
+def test_a_doc_id_with_several_texts(spark):
+    base, unique = [f"w{x}" for x in range(60)], " ".join(f"u{x}" for x in range(60))
+    near, copy = " ".join(base[:-1] + ["other"]), " ".join(base)
+    rows = [(3, copy), (5, near), (5, unique), (7, copy), (7, unique + " a b"), (8, near), (8, near), (2, "x y"), (2, "X  Y")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = sorted((r.doc_id, r.component_id) for r in simhash.groups(df, simhash.similar()).collect())
+    assert got == [(2, 2), (2, 2), (3, 3), (5, 3), (5, 5), (7, 3), (7, 5), (8, 3), (8, 3)]
+    kept = sorted((r.doc_id, r.text.lower().split()) for r in simhash.deduplicate(df).collect())
+    assert kept == [(2, ["x", "y"]), (3, copy.split()), (5, unique.split())]
