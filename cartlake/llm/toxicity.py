@@ -24,8 +24,7 @@ from cartlake.llm.common import mapped, worker_cache
 from cartlake.llm.decontaminate import normal
 from cartlake.llm.quality import held_out
 
-#: Terms of a model and labelled documents its weights are fitted on, at most.
-TERMS = 4_096
+#: Labelled documents that weights are fitted on, at most.
 SAMPLE = 20_000
 #: Likelihood ratio that a term must reach, and toxic texts it must be in.
 RATIO = 20.0
@@ -75,7 +74,10 @@ def _term_counts(docs: DataFrame) -> DataFrame:
 
 
 def telling_terms(docs: DataFrame) -> list[str]:
-    """Terms that mark toxic texts of ``docs(text, toxic)``, the most telling first."""
+    """All terms that mark toxic texts of ``docs(text, toxic)``, the most telling first.
+
+    More of them than the driver may hold end the run by ``spark.driver.maxResultSize``; none are left out.
+    """
     totals = docs.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
     n, bad = totals.n, totals.bad or 0
     if not 0 < bad < n:
@@ -85,7 +87,7 @@ def telling_terms(docs: DataFrame) -> list[str]:
     part = lambda seen, rows, cols: F.when(seen > 0, seen * F.log(seen * n / (rows * cols))).otherwise(0.0)
     ratio = 2 * (part(a, a + b, F.lit(bad)) + part(b, a + b, F.lit(n - bad)) + part(c, c + d, F.lit(bad)) + part(d, c + d, F.lit(n - bad)))
     found = _term_counts(docs).where((a >= SUPPORT) & (a * (n - bad) > b * bad)).withColumn("ratio", ratio).where(F.col("ratio") >= RATIO)
-    return [r.term for r in found.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()]
+    return [r.term for r in sorted(found.select("term", "ratio").collect(), key=lambda r: (-r.ratio, r.term))]
 
 
 class Finder:
@@ -122,7 +124,7 @@ def _finder(terms) -> Finder:
 
 
 def _featured(docs: DataFrame, terms: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(terms)  # TERMS at most
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batch: pa.RecordBatch) -> dict:
         place = {t: i for i, t in enumerate(shared.value)}
@@ -191,7 +193,7 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
     a half or more, ``toxic`` whether the first is. A null or empty text has no terms. Null and repeated doc_ids are
     kept; an empty table gives an empty table; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # TERMS at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
         own = shared.value

@@ -79,3 +79,16 @@ def test_denied_rows(spark):
     kept = toxicity.deny(df, model)
     assert kept.schema == df.schema and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2]
     assert toxicity.deny(df.where("false"), model).count() == toxicity.graded(df.where("false"), model).count() == 0
+
+
+def test_no_telling_term_is_left_out(spark):
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = sorted({"".join(rng.choice(letters, 9)) for _ in range(1200)})
+    # Every word is in six toxic texts, eighteen to a text.
+    slots = words * 6
+    rows = [(k, " ".join(slots[k * 18 : k * 18 + 18]), "", "") for k in range(len(slots) // 18)]
+    rows += [(1000 + k, f"plain text {k}", "", "") for k in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, 1, int(i < 1000), "") for i, *_ in rows], LABELS))
+    assert all(model.weights[model.terms[w]] > 0 for w in words)
