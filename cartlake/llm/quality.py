@@ -43,6 +43,11 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+def with_document(labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """The labels whose doc_id ``docs`` has: others must not use up a sample. One plan at every size."""
+    return labels.join(docs.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+
+
 @dataclass
 class Model:
     """``adds[b]``: what a feature of bucket ``b`` adds to the logit, before the mean."""
@@ -76,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 11
     classes the model says the other class's share, with none at all a half.
     """
     usable = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", "label").distinct()
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    chosen = with_document(usable, docs).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     rows = _counted(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.ids))
     good = sum(r.label for r in rows)

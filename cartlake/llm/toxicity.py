@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cartlake.llm.common import mapped, worker_cache
 from cartlake.llm.decontaminate import normal
-from cartlake.llm.quality import held_out
+from cartlake.llm.quality import held_out, with_document
 
 #: Labelled documents that weights are fitted on, at most.
 SAMPLE = 20_000
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = 6
     terms = telling_terms(texts.select("text", "toxic"))
     if not terms:
         return Model({}, np.zeros(0), np.array([3.0, 4.0, 5.0]))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
+    chosen = with_document(usable, docs).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     rows = _featured(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), terms).collect()
     rows.sort(key=lambda r: (r.doc_id, r.toxic, r.ids))
     amount = np.array([sum(r["counts"]) for r in rows], float)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartlake.llm import quality, queries, toxicity
 from cartlake.llm.common import table
@@ -92,3 +93,12 @@ def test_no_telling_term_is_left_out(spark):
     docs = spark.createDataFrame(rows, DOCS)
     model = toxicity.fit(docs, spark.createDataFrame([(i, 1, int(i < 1000), "") for i, *_ in rows], LABELS))
     assert all(model.weights[model.terms[w]] > 0 for w in words)
+
+
+def test_labels_without_a_document_use_up_no_sample(spark):
+    docs = spark.createDataFrame([(k, "vile words here" if k % 2 else "good plain text", "", "") for k in range(40)], DOCS)
+    marks = spark.createDataFrame([(k, k % 2, k % 2, "") for k in range(4000)], LABELS)
+    model = quality.fit(docs, marks.select("doc_id", F.col("quality").alias("label")), sample=40)
+    assert {r.doc_id: r.predicted for r in quality.scored(docs, model, 0.5).collect()} == {k: k % 2 for k in range(40)}
+    model = toxicity.fit(docs, marks, sample=40)
+    assert {r.doc_id: r.toxic for r in toxicity.graded(docs, model).collect()} == {k: k % 2 == 1 for k in range(40)}
