@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartlake.llm import decontaminate, embeddings, licenses, pieces, quality, simhash, suffix_dedup, token_counts, toxicity, warc
+from cartlake.llm import bitslices, decontaminate, embeddings, licenses, pieces, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -128,6 +128,35 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), length=200)
 
 
+@query(
+    "op12_ranked_search",
+    r"""
+    WITH doc AS (
+      SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+        lambda x: x <> '') AS w FROM documents),
+    item AS (
+      SELECT row_number() OVER () AS q, item_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+        lambda x: x <> '') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM doc WHERE len(w) > 0),
+    asked AS (SELECT q, item_id, t, count(*) AS c FROM (SELECT q, item_id, unnest(w) AS t FROM item) GROUP BY ALL),
+    term AS (
+      SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM doc) GROUP BY ALL),
+    held AS (SELECT t, count(*) AS df FROM term GROUP BY t),
+    score AS (
+      SELECT q, item_id, r, doc_id, CAST(sum(c * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM asked JOIN term USING (t) JOIN held USING (t), total GROUP BY ALL),
+    ranked AS (
+      SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+      FROM score WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslices.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
