@@ -130,7 +130,18 @@ def after_row(audits: Audits, best: Best, kind: str) -> Best:
             _offer(audits, out, TURN[state], extra + COST[REROLE], node, REROLE)
             if (kept := STAYS.get((state, kind[0]))) is not None:
                 _offer(audits, out, kept, extra, node, KEEP)
-    return out
+    return _hopeful(out)
+
+
+def _hopeful(best: Best) -> Best:
+    """Without states that cost more than any way on from them can save; this keeps standings few.
+
+    What follows nothing can follow an assistant if one kept system row is deleted; what follows a system row can as
+    it is. An assistant costs one insertion after a user.
+    """
+    said = min((best[s][0] + COST[INSERT] * (s == USER) for s in (USER, ASSISTANT) if s in best), default=None)
+    spare = {NOBODY: COST[DELETE], SYSTEM: 0}
+    return best if said is None else {s: v for s, v in best.items() if s not in spare or v[0] <= said + spare[s]}
 
 
 def at_end(audits: Audits, best: Best) -> tuple[int, int]:
