@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartlake.llm import bitslices, conversations, decontaminate, embeddings, licenses, pieces, quality, simhash, suffix_dedup, token_counts, toxicity, warc
+from cartlake.llm import bitslices, conversations, decontaminate, embeddings, licenses, pieces, quality, simhash, spotsigs, suffix_dedup, token_counts, toxicity, warc
 from cartlake.llm.common import table
 from cartlake.session import prepare
 
@@ -157,6 +157,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslices.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
 
 
+@query("op11_document_fingerprints")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edits(table(spark, sf_dir, "documents"))
+
+
 @query("op13_conversation_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
