@@ -119,6 +119,16 @@ def _scan(docs: DataFrame, items: list[tuple[str | None, str | None]]) -> DataFr
     return mapped(rows, run, f"row bigint, doc_id bigint, n_words bigint, spans {SPAN}, chars {SPAN}, items array<string>")
 
 
+def _dealt(items: DataFrame) -> tuple[DataFrame, int]:
+    """The different items, and into how many automata they go."""
+    texts = items.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    return texts, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // AUTOMATON_BYTES) or 1
+
+
+def _shard(texts: DataFrame, shards: int, k: int) -> list[tuple[str | None, str | None]]:
+    return sorted(map(tuple, texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).collect()), key=repr)
+
+
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` against ``items(item_id, text)``: a row for each document row.
 
@@ -128,17 +138,11 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     makes hits but is not counted; rows that repeat an item_id are one item. Null and repeated doc_ids are kept;
     an empty table of items hits nothing; other columns are ignored.
     """
-    texts = items.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = -(-size // AUTOMATON_BYTES) or 1
-    if shards == 1:
-        found = _scan(docs, sorted(map(tuple, texts.collect()), key=repr))
-    else:
-        part = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-        found = None
-        for k in range(shards):
-            own = _scan(docs, sorted(map(tuple, texts.where(part == k).collect()), key=repr))
-            found = own if found is None else found.union(own)
+    texts, shards = _dealt(items)
+    found = _scan(docs, _shard(texts, shards, 0))
+    if shards > 1:
+        for k in range(1, shards):
+            found = found.union(_scan(docs, _shard(texts, shards, k)))
         gather = lambda c: F.flatten(F.collect_list(c)).alias(c)  # noqa: E731  at most a document's words, from each automaton
         found = found.groupBy("row", "doc_id", "n_words").agg(gather("spans"), gather("chars"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         found = _merged(found)
@@ -162,7 +166,24 @@ def _merged(found: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text holds a window of an item; all columns stay as they are."""
-    found = hits(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), items)
-    dirty = found.where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.xxhash64("doc_id", "text") == F.col("_dirty"), "left_anti")
+    """``docs`` without the rows whose text holds a window of an item; all columns stay as they are.
+
+    A null or empty text stays; rows that repeat are judged each; an empty table of either kind takes nothing out.
+    """
+    texts, shards = _dealt(items)
+    for k in range(shards):
+        docs = _clean(docs, _shard(texts, shards, k))
+    return docs
+
+
+def _clean(docs: DataFrame, items: list[tuple[str | None, str | None]]) -> DataFrame:
+    """``docs`` without what these items hit, judged in place: no shuffle."""
+    key = hashlib.sha256(repr(items).encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(items)  # AUTOMATON_BYTES at most
+
+    def run(batches):
+        for batch in batches:
+            scanner = _scanner(key, shared.value)
+            yield batch.filter(pa.array([not scanner.scan(t)[1] for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -168,13 +168,13 @@ class Vocabulary:
         return b"".join(map(self.shown.__getitem__, ids))
 
     def checked(self, chunks: list[str]) -> list[tuple[list[int], bool]]:
-        """Encoded chunks, and whether the library agrees; where it does not, its ids are taken.
+        """Chunks as the agenda encodes them, and whether the library agrees.
 
         A line end keeps what follows it apart from the mark that the library puts before a text.
         """
         mine, lead = self.encode_chunks(chunks), self.lead
         theirs = self.library.encode(["\n" + c for c in chunks], num_threads=1)
-        return [(t[lead:], m == t[lead:]) for m, t in zip(mine, theirs)]
+        return [(m, m == t[lead:]) for m, t in zip(mine, theirs)]
 
 
 @lru_cache(maxsize=2)
@@ -254,7 +254,7 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = False, keep_text: bool
     """``(doc_id, text)`` to ids with begin and end, and their decoding; a row for each row, in whole texts.
 
     ``n_tokens``, ``ids_sha256`` (little-endian unsigned 32-bit numbers), ``decoded_sha256`` (UTF-8), ``agrees``
-    (the agenda gives the library's ids for every chunk; the ids returned are the library's in any case), and with
+    (the ids, which are the agenda's, are the library's in every chunk), and with
     ``keep_ids`` / ``keep_text`` the ids (array) and the decoded text. A null text is an empty one: begin and end
     only. Null and repeated doc_ids are kept; an empty table gives an empty table; other columns are ignored.
     """

@@ -384,10 +384,12 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, keep_text: bool = False)
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``, and ``n_chars``, where there is one, counted again.
 
-    All rows and columns stay; a null text stays null, a text that was all repeated is empty.
+    All rows and columns stay, whatever their names; a null text stays null, a text that was all repeated is empty.
+    Rows that repeat repeat each other's strings; an empty table stays empty.
     """
-    left = deduplicated(docs, length, keep_text=True).select(F.col("row").alias("_row"), F.col("text").alias("_left"))
-    out = docs.drop("text").withColumn("_row", row_id()).join(left, "_row").withColumn("text", F.col("_left"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    left = deduplicated(docs, length, keep_text=True).select("row", "text")
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("doc"), row_id().alias("row"))
+    own = {c: F.col("doc").getField(c) for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return held.join(left, "row").select(*[own[c].alias(c) for c in docs.columns])

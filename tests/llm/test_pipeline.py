@@ -67,13 +67,15 @@ def test_every_stage_against_a_plain_version(spark):
 
 
 def test_odd_tables(spark, monkeypatch):
-    schema = TABLES["documents"] + ", component_id int, row string"
+    schema = TABLES["documents"] + ", component_id int, row string, _row int, _left string, _dirty int, node int, tile string, doc int"
     rows = [(None, None, None, None, None, 1, "a"), (1, "", "en", "s", 0, 2, "b"), (1, "", "en", "s", 0, 2, "b"), (2, "one two", "en", "s", 7, None, None), (3, "w " * 20_000, "en", "s", 40_000, 3, "c")]
+    rows = [(*r, 7, "l", 8, 9, "t", 10) for r in rows]
     for data in (rows, []):
         docs = spark.createDataFrame(data, schema)
         for name, stage in corpus_pipeline.STAGES[:-1]:
             columns = docs.columns
             docs = settle(stage(spark, docs, SF), "odd")
             assert docs.columns == columns, name
+            assert {tuple(r[7:]) for r in docs.collect()} == ({(7, "l", 8, 9, "t", 10)} if data else set()), name
         out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
         assert sorted((r.doc_id or 0) for r in out) == ([0, 1, 2, 3] if data else [])

@@ -64,12 +64,12 @@ def test_side_by_side_and_heap_agree():
     assert voc.encode_chunks(chunks) == [voc.merged(c) for c in chunks]
 
 
-def test_where_the_agenda_differs_the_library_counts(monkeypatch):
+def test_where_the_agenda_differs_it_is_told(monkeypatch):
     voc = pieces.vocabulary(PATH)
     monkeypatch.setattr(pieces, "worker_cache", lambda owner, own={}: own)
     monkeypatch.setattr(voc, "encode_chunks", lambda chunks: [[5] for _ in chunks])
     ((ids, decoded, agrees),) = pieces.encode_batch(["plain words\nhere"], PATH)
-    assert np.frombuffer(ids, "<u4").tolist() == library().encode("plain words\nhere") and decoded == b"plain words\nhere" and not agrees
+    assert set(np.frombuffer(ids, "<u4").tolist()) == {5} and decoded != b"plain words\nhere" and not agrees
 
 
 def test_counts_query_against_library(spark):
