@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,14 +47,27 @@ _cache: dict[str, dict] = {}
 def worker_cache(owner: str) -> dict:
     """What a Python worker remembers for one operator; that of the operator before it is let go."""
     if owner not in _cache:
-        _cache.clear()
-    return _cache.setdefault(owner, {})
+        if _cache:
+            _cache.clear()
+            _hand_back()
+        _cache[owner] = {}
+    return _cache[owner]
+
+
+def _hand_back() -> None:
+    """Freed memory to the system, from Arrow's pool and, where it can be asked, from the C library."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn(batch) -> dict of columns`` over Arrow batches; an empty batch gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache(fn.__module__)  # what another operator remembers goes
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import mapped, row_id
+from cartlake.llm.common import mapped, row_id, worker_cache
 
 WINDOW = 10
 #: Items whose texts have more bytes than this together are dealt into several automata.
@@ -82,14 +82,12 @@ def in_text(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(chars(places[a][0]), chars(places[b - 1][1])) for a, b in spans]
 
 
-_scanners: dict[str, Scanner] = {}
-
-
 def _scanner(key: str, items: list) -> Scanner:
-    if key not in _scanners:
-        _scanners.clear()
-        _scanners[key] = Scanner(items)
-    return _scanners[key]
+    known = worker_cache(__name__)
+    if key not in known:
+        known.clear()
+        known[key] = Scanner(items)
+    return known[key]
 
 
 SPAN = "array<struct<a:bigint,b:bigint>>"

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from contextlib import suppress
 from functools import lru_cache
 from struct import pack
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,13 @@ from cartlake.llm.common import mapped, worker_cache
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Words, and chunks, kept by a Python worker, about 130 MB each. Full words stay as they are (the frequent ones come
-#: early); full chunks start over.
+#: Chunks that a Python worker keeps at most; a full table starts over.
 KEPT = 500_000
+#: Bytes of coded words, and of coded chunks, that a worker keeps for encoding. Full words stay as they are (the
+#: frequent ones come early); full chunks start over. What is not kept is worked out again: results are the same.
+KEPT_BYTES = 64 << 20
+#: Bytes of a place in a table of them.
+PLACE = 100
 #: Longer chunks take the heap, shorter ones the side-by-side agenda.
 LONG = 48
 FAR = np.int32(2**31 - 1)
@@ -219,17 +224,47 @@ def _gaps(found: list) -> Iterator[int]:
             yield (at := found.index(None, at + 1))
 
 
+class Kept:
+    """Coded chunks, and coded words: what stands between two single spaces, with the one before it."""
+
+    def __init__(self):
+        self.chunks: dict[str, Coded] = {}
+        self.words: dict[str, Coded] = {}
+        self.chunk_bytes = self.word_bytes = 0
+
+    @staticmethod
+    def size(coded: dict[str, Coded], keys) -> int:
+        """Bytes of some entries; an entry with a disagreement, which is rare, is counted as its tuple."""
+        return sum(getsizeof(k) + getsizeof(coded[k]) + PLACE for k in keys)
+
+    def learn(self, path: str, lacking: set[str]) -> None:
+        _learn(path, lacking, self.chunks)
+        self.chunk_bytes += self.size(self.chunks, lacking)
+
+    def keep(self, words: dict[str, Coded]) -> None:
+        """Words up to the bound; those beyond it are worked out again when they are met again."""
+        for word, coded in words.items():
+            if self.word_bytes >= KEPT_BYTES:
+                return
+            self.words[word] = coded
+            self.word_bytes += getsizeof(word) + getsizeof(coded) + PLACE
+
+    def make_room(self) -> None:
+        if self.chunk_bytes > KEPT_BYTES:
+            self.chunks.clear()
+            self.chunk_bytes = 0
+
+
 def encode_batch(texts: list[str], path: str, slice_chars: int = 4_000_000) -> Iterator[tuple[bytes, bytes, bool]]:
     """Yields (ids without begin and end, decoded bytes, library agrees) per text, in slices of bounded size."""
-    # Coded chunks, and coded words: what stands between two single spaces, with the one before it.
-    (chunks, words), at = worker_cache("pieces").setdefault(path, ({}, {})), 0
+    kept, at = worker_cache(__name__).setdefault(path, Kept()), 0
+    chunks, words = kept.chunks, kept.words
     while at < len(texts):
         end, chars = at, 0
         while end < len(texts) and (end == at or chars + len(texts[end]) <= slice_chars):
             chars += len(texts[end])
             end += 1
-        if len(chunks) > KEPT:
-            chunks.clear()
+        kept.make_room()
         cut = [t.replace(SPACE, " ").split(" ") for t in texts[at:end]]
         plain = ["" not in parts for parts in cut]  # without runs of spaces, which are a chunk with what follows
         cut = [parts if ok else chunks_of(t) for ok, parts, t in zip(plain, cut, texts[at:end])]
@@ -237,10 +272,9 @@ def encode_batch(texts: list[str], path: str, slice_chars: int = 4_000_000) -> I
         gaps = [list(_gaps(f)) for f in found]
         fresh = {parts[i]: _CHUNK.findall(" " + parts[i]) for ok, parts, gap in zip(plain, cut, gaps) if ok for i in gap}
         lacking = {c for own in fresh.values() for c in own} | {parts[i] for ok, parts, gap in zip(plain, cut, gaps) if not ok for i in gap}
-        _learn(path, lacking - chunks.keys(), chunks)
+        kept.learn(path, lacking - chunks.keys())
         coded_words = {word: _joined(own, [chunks[c] for c in own]) for word, own in fresh.items()}
-        if len(words) < KEPT:
-            words.update(coded_words)
+        kept.keep(coded_words)
         for ok, text, parts, f, gap in zip(plain, texts[at:end], cut, found, gaps):
             for i in gap:
                 f[i] = (coded_words if ok else chunks)[parts[i]]

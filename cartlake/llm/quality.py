@@ -121,7 +121,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         adds, bias = shared.value
-        words_of = worker_cache("quality")
+        words_of = worker_cache(__name__)
         if key not in words_of:
             words_of.clear()
         known, own = words_of.setdefault(key, {}), Model(adds, bias)

@@ -47,7 +47,7 @@ def _hash(word: bytes) -> int:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    known = worker_cache("spotsigs")
+    known = worker_cache(__name__)
     if len(known) > KNOWN:
         known.clear()
     out = []

@@ -116,7 +116,7 @@ class Finder:
 
 
 def _finder(terms) -> Finder:
-    key, finders = hash(tuple(terms)), worker_cache("toxicity")
+    key, finders = hash(tuple(terms)), worker_cache(__name__)
     if key not in finders:
         finders.clear()
         finders[key] = Finder(frozenset(terms))
