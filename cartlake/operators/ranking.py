@@ -13,7 +13,8 @@ the result is a plain window; it is the same either way.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -127,10 +128,15 @@ def split_lag(
     name: str,
     hot_rows: int = HOT_ROWS,
     hot: DataFrame | None = None,
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Struct of ``columns`` of the previous row of the key, NULL on the first row."""
+    """Struct of ``columns`` of the previous row of the key, NULL on the first row.
+
+    A job that runs often passes ``settle`` to write what is read again to a place that it deletes.
+    """
+    settle = settle or partial(checkpointed, df.sparkSession)
     known, unknown = _split_null_keys(df, keys)
-    hot = _known_hot(known, keys, hot_rows, hot)
+    hot = settle(hot if hot is not None else hot_keys(known, keys, hot_rows))
     image, rank = F.struct(*columns), F.struct(*order)
     if hot.isEmpty():
         plain = known.withColumn(name, F.lag(image).over(W.partitionBy(*keys).orderBy(*order)))
@@ -138,7 +144,7 @@ def split_lag(
     staged, cells = _cells(known, keys, levels, hot)
     leaf = keys + cells
     tails = staged.filter("_hot").groupBy(*leaf).agg(F.max_by(image, rank).alias("_tail"), F.max(rank).alias("_rank"))
-    tails = checkpointed(df.sparkSession, tails)
+    tails = settle(tails)
     heads = tails.select(*leaf, F.lit(None).cast(tails.schema["_tail"].dataType).alias("_prev"))
     for depth in reversed(range(len(cells))):
         group, parent = keys + cells[: depth + 1], keys + cells[:depth]

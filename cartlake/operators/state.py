@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -100,10 +101,14 @@ def change_feed(
     sequence: str,
     columns: list[str],
     hot_rows: int = HOT_ROWS,
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Every version, by (time, sequence), with the image it replaced."""
+    """Every version, by (time, sequence), with the image it replaced.
+
+    ``settle`` writes the short tables of hot keys and cells; a checkpoint by default.
+    """
     levels = time_levels(F.col(time), F.col(sequence))
-    linked = split_lag(versions, [key], levels, [time, sequence], columns, "old_image", hot_rows)
+    linked = split_lag(versions, [key], levels, [time, sequence], columns, "old_image", hot_rows, settle=settle)
     return linked.withColumn("new_image", F.struct(*columns))
 
 

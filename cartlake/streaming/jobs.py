@@ -7,6 +7,7 @@ change once. ``read_log`` gives the newest row per key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,31 +55,68 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_state(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str], compacted: str | None = None
 ) -> DataFrame:
-    """Newest row per key of a change log, from its last compaction and the batches after it."""
-    log = read_log(spark, path, schema)
-    if compacted:
-        done = read_log(spark, compacted, schema)
-        upto = done.agg(F.max(BATCH)).first()[0]  # a partition value: one number
-        if upto is not None:
-            log = log.filter(F.col(BATCH) > upto).unionByName(done.filter(F.col(BATCH) == upto))
+    """Newest row per key of a change log, from its last finished compaction and the batches after it.
+
+    Folders are listed once, the compactions first, and only those that a finished write has marked are read: a
+    compaction that is being written is not seen, and what it will fold is still in the batches.
+    """
+    upto = max(finished(spark, compacted), default=None) if compacted else None
+    tail = [n for n in finished(spark, path) if upto is None or n > upto]
+    log = _folders(spark, path, schema, tail)
+    if upto is not None:
+        log = log.unionByName(_folders(spark, compacted, schema, [upto]))
     return latest_per_key(log, keys, [BATCH]).drop(BATCH)
 
 
-def compact_state(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], out: str) -> None:
-    """Write the newest row per key, e.g. nightly; ``read_state(..., compacted=out)`` then reads little else.
+def _folders(spark: SparkSession, path: str, schema: T.StructType, numbers: list[int]) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    if not numbers:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/{BATCH}={n}" for n in numbers])
 
-    Each compaction is a folder named after the newest batch in it and starts from the one before. Batches up to
-    that number are not read again and may be removed.
-    """
-    upto = read_log(spark, path, schema).agg(F.max(BATCH)).first()[0]
-    if upto is not None:
-        before = out if _exists(spark, out) else None
-        read_state(spark, path, schema, keys, before).write.mode("overwrite").parquet(f"{out}/{BATCH}={upto}")
 
+def _listed(spark: SparkSession, path: str) -> tuple[object, dict[int, object]]:
+    """The file system and the batch folders of a path by number: names only, whatever the size of the data."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.listStatus(root) if fs.exists(root) else []
+    names = {s.getPath().getName(): s.getPath() for s in found}
+    return fs, {int(n.split("=")[1]): where for n, where in names.items() if n.startswith(f"{BATCH}=")}
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+def finished(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batch folders whose write was committed."""
+    fs, folders = _listed(spark, path)
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n, where in folders.items() if fs.exists(marker(where, "_SUCCESS")))
+
+
+def drop_folders(spark: SparkSession, path: str, upto: int) -> None:
+    """Delete the batch folders up to a number."""
+    fs, folders = _listed(spark, path)
+    for n, where in folders.items():
+        if n <= upto:
+            fs.delete(where, True)
+
+
+def compact_state(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], out: str, generations: int = 1
+) -> None:
+    """Fold the batches into one folder with the newest row per key; ``read_state(..., compacted=out)`` reads it.
+
+    Each compaction is a folder named after the newest batch in it and starts from the one before. Its write mark
+    makes it valid; only then are folders deleted that no reader needs. ``generations`` earlier compactions and
+    the batches after them stay for readers that have listed them already; with 0 the log is one compaction and the tail.
+    """
+    done, batches = finished(spark, out), finished(spark, path)
+    upto = max(batches, default=None)
+    if upto is not None and (not done or upto > done[-1]):
+        read_state(spark, path, schema, keys, out).write.mode("overwrite").parquet(f"{out}/{BATCH}={upto}")
+        done = [*done, upto]
+    if len(done) > generations:
+        oldest = done[-1 - generations]
+        drop_folders(spark, path, oldest)
+        drop_folders(spark, out, oldest - 1)
 
 
 def land_stream(
@@ -127,10 +165,22 @@ def upsert_stream(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    compacted: str | None = None,
+    compact_every: int = 20,
 ) -> StreamingQuery:
-    """Latest row per key as a running aggregate; changed keys go to the log."""
+    """Latest row per key as a running aggregate; changed keys go to the log.
+
+    With ``compacted`` every ``compact_every``-th batch folds the log there, so it stays a state and a short tail.
+    """
     latest = latest_per_key(versions, keys, order)
-    return _start(latest, checkpoint, _log_writer(path), "update", trigger or {"availableNow": True})
+    log = _log_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log(batch, batch_id)
+        if compacted and batch_id % compact_every == compact_every - 1:
+            compact_state(batch.sparkSession, path, batch.schema, keys, compacted)
+
+    return _start(latest, checkpoint, write, "update", trigger or {"availableNow": True})
 
 
 def change_feed_stream(
@@ -150,17 +200,28 @@ def change_feed_stream(
 
     Batches arrive in order of time. Each batch is joined to the last image of its own keys and
     then leaves last images behind: every ``full_every``-th batch those of all keys, the others
-    those of their own keys. A batch so reads one full set and the few folders after it.
+    those of their own keys. A batch so reads one full set and the few folders after it; older
+    folders are deleted once a batch that does not read them runs, and so is what a batch set aside.
     """
     keep = list(dict.fromkeys([key, time, sequence, *columns]))
 
+    def full_before(batch_id: int) -> int:
+        return (batch_id - 1) // full_every * full_every
+
     def last_images(spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame:
-        newest_full = (batch_id - 1) // full_every * full_every
+        newest_full = full_before(batch_id)
         past = read_log(spark, tails, schema).filter(F.col(BATCH).between(newest_full, batch_id - 1))
         return past.select(*keep)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, aside = batch.sparkSession, f"{tails}.aside"
+        drop_folders(spark, aside, batch_id)  # of a batch that failed
+
+        def set_aside(df: DataFrame) -> DataFrame:
+            place = f"{aside}/{BATCH}={batch_id}/{uuid.uuid4().hex}"
+            df.write.parquet(place)
+            return spark.read.schema(df.schema).parquet(place)
+
         # used by several branches below; kept so that the source is read once
         batch = batch.select(*keep).persist()
         try:
@@ -172,11 +233,14 @@ def change_feed_stream(
                 rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
                 if batch_id % full_every == 0:
                     known = batch.unionByName(past)
-            fed = state.change_feed(rows, key, time, sequence, columns, hot_rows).filter("_new").drop("_new")
+            fed = state.change_feed(rows, key, time, sequence, columns, hot_rows, set_aside).filter("_new").drop("_new")
             fed.write.mode("overwrite").parquet(f"{feed}/{BATCH}={batch_id}")
             last = latest_per_key(known, [key], [time, sequence])
             last.write.mode("overwrite").parquet(f"{tails}/{BATCH}={batch_id}")
+            # the batch before this one is committed, so nothing reads what is older than its full set
+            drop_folders(spark, tails, full_before(batch_id) - 1)
         finally:
+            drop_folders(spark, aside, batch_id)
             batch.unpersist()
 
     return _start(versions, checkpoint, write, "append", trigger or {"availableNow": True})

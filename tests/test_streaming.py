@@ -136,3 +136,85 @@ def test_expiry(spark, folder):
     got = {(r.key, r.kind, r.op) for r in spark.read.parquet(folder + "/out").collect()}
     assert {g for g in got if g[2] == "expired"} == {("0", "k9", "expired"), ("2", "k11", "expired"), ("9", "old", "expired")}
     assert ("1", "late", "upsert") in got and ("0", "k3", "upsert") in got
+
+
+def test_expiry_keeps_revived_and_drops_dead_on_arrival(spark, folder):
+    from cartlake.streaming import expiry
+
+    start = datetime(2024, 1, 1)
+    day = timedelta(days=1)
+    arrivals = [
+        [(1, 1, start, "a"), (2, 2, start, "b")],
+        [(3, 1, start + timedelta(hours=20), "c"), (4, 3, start + 3 * day, "d"), (4, 3, start + 3 * day, "d")],
+        [(5, 4, start, "dead"), (6, 2, start + 3 * day, "again"), (7, None, start, "x"), (8, 5, None, "y")],
+        [(9, 9, start + 3 * day + timedelta(hours=1), "z")],
+    ]
+    session = streaming_session(spark, 2)
+    for part in arrivals:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder + "/in")
+        stream = readers.stream_files(session, folder + "/in", SCHEMA, "parquet")
+        expiry.expiring_state_stream(
+            stream, "user_id", "ts", "event_id", 86400, ["kind"], folder + "/out", folder + "/c"
+        ).awaitTermination()
+    log = spark.read.parquet(folder + "/out")
+    assert {(r.key, r.kind) for r in log.filter("op = 'expired'").collect()} == {("1", "c"), ("2", "b")}
+    assert {(r.key, r.kind) for r in expiry.read_live(spark, folder + "/out").collect()} == {("2", "again"), ("3", "d"), ("9", "z")}
+
+
+def test_expiry_combines_a_hot_key_before_the_shuffle(spark, folder):
+    from cartlake.streaming import expiry
+
+    rows = spark.range(0, 100_000, 1, 8).select(
+        F.col("id").alias("event_id"),
+        F.lit(1).cast("bigint").alias("user_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("id") % 1000)).cast("timestamp_ntz").alias("ts"),
+        F.lit("k").alias("kind"),
+    )
+    rows.write.parquet(folder + "/in")
+    stream = readers.stream_files(streaming_session(spark, 2), folder + "/in", SCHEMA, "parquet")
+    running = expiry.expiring_state_stream(stream, "user_id", "ts", "event_id", 60, ["kind"], folder + "/out", folder + "/c")
+    running.awaitTermination()
+    # the state takes one session a task, not a row for each event
+    assert max(op.numRowsUpdated for p in running.removals.recentProgress for op in p.stateOperators) <= 8
+    (only,) = spark.read.parquet(folder + "/out").filter("op = 'upsert'").collect()
+    assert only.sequence == 99_999
+
+
+def test_log_is_one_compaction_and_a_tail(spark, folder):
+    log, out = folder + "/log", folder + "/out"
+    want = {}
+    for n in range(50):
+        rows = [(n, n % 7, datetime(2024, 1, 1) + timedelta(minutes=n), f"k{n}")]
+        want[n % 7] = f"k{n}"
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{log}/_batch={n}")
+        if n % 20 == 19:
+            jobs.compact_state(spark, log, SCHEMA, ["user_id"], out, generations=0)
+    assert jobs.finished(spark, log) == list(range(40, 50)) and jobs.finished(spark, out) == [39]
+    read = lambda: {r.user_id: r.kind for r in jobs.read_state(spark, log, SCHEMA, ["user_id"], out).collect()}
+    assert read() == want
+    # a compaction that is being written has rows but no mark yet: it is not read, and a retry replaces it
+    wrong = spark.createDataFrame([(1, 1, datetime(2024, 1, 1), "half")], SCHEMA)
+    wrong.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{out}/_batch=49")
+    assert jobs.finished(spark, out) == [39] and read() == want
+    before = jobs.read_state(spark, log, SCHEMA, ["user_id"], out)
+    jobs.compact_state(spark, log, SCHEMA, ["user_id"], out)
+    # a reader from before still finds its folders; the next compaction lets them go
+    assert {r.user_id: r.kind for r in before.collect()} == want == read()
+    assert jobs.finished(spark, out) == [39, 49]
+
+
+def test_change_feed_leaves_bounded_folders(spark, folder):
+    import os
+
+    rows = [(i, i % 3, datetime(2024, 1, 1) + timedelta(minutes=i), f"k{i}") for i in range(24)]
+    for n in range(12):
+        spark.createDataFrame(rows[2 * n : 2 * n + 2], SCHEMA).coalesce(1).write.mode("append").parquet(folder + "/in")
+    stream = readers.stream_files(streaming_session(spark, 2), folder + "/in", SCHEMA, "parquet", files_per_trigger=1)
+    jobs.change_feed_stream(
+        stream, "user_id", "ts", "event_id", ["kind"], folder + "/f", folder + "/t", folder + "/c", 1, 3
+    ).awaitTermination()
+    assert jobs.finished(spark, folder + "/t") == [9, 10, 11] and not os.listdir(folder + "/t.aside")
+    got = spark.read.parquet(folder + "/f")
+    want = state.change_feed(spark.createDataFrame(rows, SCHEMA), "user_id", "ts", "event_id", ["kind"])
+    names = ["event_id", "old_image", "new_image"]
+    assert rows_of(got, *names) == rows_of(want, *names)
