@@ -221,7 +221,7 @@ def bulk_range(spark, sf):
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "created_at")
     low, high = (F.lit(d).cast("timestamp_ntz") for d in ("1996-01-01", "1998-12-31"))
     return (
-        orders.filter(F.col("created_at").between(low, high))
+        envelope.created_between(orders, low, high)
         .groupBy("o_orderstatus")
         .agg(
             F.count(F.lit(1)).alias("orders"),

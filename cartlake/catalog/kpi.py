@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from cartlake import schemas
 from cartlake.catalog import facts
-from cartlake.catalog.registry import plain, props_k, query, stamp, table
+from cartlake.catalog.registry import ORACLES, plain, props_k, query, stamp, table
 from cartlake.functions import regions
 from cartlake.functions.timeutil import fetch_window_columns
 from cartlake.operators import kpi
 from cartlake.operators.ranking import most_frequent
 from cartlake.plans import kpi_refresh
+from cartlake.session import shared_dir
+from cartlake.sources import readers
 from cartlake.sources.readers import parse_legacy_performance
 
 
@@ -52,6 +54,23 @@ def orders_hourly(spark, sf):
     return plain(kpi.orders_hourly(facts.orders_fact(spark, sf)))
 
 
+@query("kpi_orders_text_facts", ORACLES["kpi_orders_hourly"])
+def orders_text_facts(spark, sf):
+    """The same from a fact table that holds text: numbers are read out of it, what is no number is 0."""
+    path = shared_dir(spark, "text-facts")
+    facts_of = facts.orders_fact(spark, sf)
+    text = lambda f: (  # noqa: E731  zeros are written in the ways that stand for one
+        F.when(F.col(f.name) == 0, F.element_at(F.array(F.lit("n/a"), F.lit(" "), F.lit("0")), F.second("created_at") % 3 + 1))
+        .otherwise(F.col(f.name).cast("string"))
+        .alias(f.name)
+        if f.dataType.typeName() == "double"
+        else F.col(f.name).cast("string")
+    )
+    facts_of.select(*[text(f) for f in facts_of.schema.fields]).write.parquet(path)
+    read = readers.typed_fact(spark.read.parquet(path), schemas.ORDERS_FACT)
+    return plain(kpi.orders_hourly(read))
+
+
 @query(
     "kpi_ads_hourly",
     f"""WITH {facts.EVENTS_SQL},\n{facts.ADS_FACT_SQL},\n{facts.ads_hourly_sql()}

@@ -17,6 +17,7 @@ from cartlake.plans import bulk_load, kpi_refresh
 from cartlake.session import shared_dir
 from cartlake.sinks import writers
 from cartlake.sources import readers
+from cartlake.streaming import jobs
 
 _TOPIC = sql_pick(TOPICS, f"event_id % {len(TOPICS)}")
 _K = "CAST(regexp_extract(props, '[0-9]+') AS BIGINT)"
@@ -88,17 +89,17 @@ def quarantine_replay(spark, sf):
     path = shared_dir(spark, "quarantine")
     _, bad = envelope.split_quarantine(envelope.extract_payload(parse_lines(transport_lines(spark, sf))))
     writers.write_quarantine(bad, path)
-    waiting = readers.read_quarantine(spark, path)
     cut = F.col(schemas.CORRUPT)
-    body = F.concat(F.regexp_replace(cut, ',"detail$', ""), F.lit(',"detail":{"repaired":true}}'))
-    fixed = envelope.extract_payload(parse_lines(waiting.filter(cut.isNotNull()).select(body.alias("line"))))
-    good, still = envelope.split_quarantine(fixed)
-    rest = waiting.filter(cut.isNull())
-    outcome = (
-        good.select(F.lit("repaired").alias("outcome"))
-        .unionByName(still.select(F.col("reason").alias("outcome")))
-        .unionByName(rest.select(F.col("reason").alias("outcome")))
-    )
+
+    def repair(waiting):
+        body = F.concat(F.regexp_replace(cut, ',"detail$', ""), F.lit(',"detail":{"repaired":true}}'))
+        fixed = envelope.extract_payload(parse_lines(waiting.filter(cut.isNotNull()).select(body.alias("line"))))
+        return fixed.unionByName(waiting.filter(cut.isNull()), allowMissingColumns=True)
+
+    left = shared_dir(spark, "quarantine")
+    good, _ = jobs.replay_quarantine(readers.read_quarantine(spark, path), repair, left)
+    rest = readers.read_quarantine(spark, left)
+    outcome = good.select(F.lit("repaired").alias("outcome")).unionByName(rest.select(F.col("reason").alias("outcome")))
     return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlake import schemas
+from cartlake.functions import numeric
 from cartlake.functions.jsontext import parsed
 
 LANDED = T.StructType([*schemas.ENVELOPE.fields, T.StructField(schemas.CORRUPT, T.StringType())])
@@ -96,6 +97,42 @@ def read_ads_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ADS_FACT).parquet(path)
 
 
+def typed_fact(raw: DataFrame, schema: str) -> DataFrame:
+    """The columns of a fact schema out of a table whose columns may be text.
+
+    Text that should be a number is read as ``numeric.number`` does: null, blank and unreadable are 0. Other types
+    are cast, and what can not be is null; a column that is not there is null. The casts are part of the scan's
+    projection, so only the columns that a query uses are read. ``unreadable`` counts what was lost.
+    """
+    return raw.select(*[_typed(raw, f).alias(f.name) for f in _fields(schema)])
+
+
+def unreadable(raw: DataFrame, schema: str) -> DataFrame:
+    """``(column, lost)``: values of text, blanks left out, that are not of the type the schema names; one pass."""
+    fields = [f for f in _fields(schema) if _is_text(raw, f)]
+    lost = [F.count_if((F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in fields]
+    if not fields:
+        return raw.sparkSession.createDataFrame([], "column string, lost bigint")
+    return raw.agg(*lost).unpivot([], [f.name for f in fields], "column", "lost")
+
+
+def _fields(schema: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(schema).fields
+
+
+def _is_text(raw: DataFrame, field: T.StructField) -> bool:
+    wanted = not isinstance(field.dataType, T.StringType)
+    return wanted and field.name in raw.columns and isinstance(raw.schema[field.name].dataType, T.StringType)
+
+
+def _typed(raw: DataFrame, field: T.StructField) -> Column:
+    if field.name not in raw.columns:
+        return F.lit(None).cast(field.dataType)
+    if _is_text(raw, field) and isinstance(field.dataType, T.DoubleType):
+        return numeric.number(F.trim(field.name))
+    return F.col(field.name).try_cast(field.dataType)
+
+
 def read_fact_jdbc(
     spark: SparkSession, url: str, table: str, partition_column: str, lower: str, upper: str, partitions: int, **options: str
 ) -> DataFrame:

@@ -159,3 +159,20 @@ def test_sums_lose_no_small_or_large_values(spark):
     assert small.first().s == 0.4
     large = spark.createDataFrame([(1e13,), (2.5e13,), (None,)], "v double").selectExpr(numeric.exact_total("v") + " AS s")
     assert large.first().s == 3.5e13
+
+
+def test_typed_fact_reads_text(spark):
+    from cartlake.sources import readers
+
+    raw = spark.createDataFrame(
+        [(" 1.5 ", "2024-01-01", "x", 1), ("", "no day", None, 2), (None, None, "y", 3), ("1,5", "2024-01-02", "n/a", 4)],
+        "spend string, day string, name string, extra int",
+    )
+    schema = "spend double, day date, name string, missing double"
+    got = readers.typed_fact(raw, schema)
+    assert got.schema.simpleString() == "struct<spend:double,day:date,name:string,missing:double>"
+    rows = [(r.spend, str(r.day), r.name, r.missing) for r in got.collect()]
+    assert rows == [(1.5, "2024-01-01", "x", None), (0.0, "None", None, None), (0.0, "None", "y", None), (0.0, "2024-01-02", "n/a", None)]
+    assert {tuple(r) for r in readers.unreadable(raw, schema).collect()} == {("spend", 1), ("day", 1)}
+    assert readers.unreadable(raw, "name string").count() == 0
+    assert readers.typed_fact(raw.limit(0), schema).count() == 0
