@@ -33,6 +33,8 @@ FEW = 64
 #: Shingle sets, and shingles in them, of a side where sets are compared: 8 MB.
 SETS = 512
 SHINGLES = 1_000_000
+#: What rows of one class have in common.
+CLASS = ["fp", "band", "n", "own"]
 
 
 @dataclass(frozen=True)
@@ -145,10 +147,12 @@ def fingerprint(h: np.ndarray, plan: Plan) -> bytes:
 def fingerprints(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """``(doc_id, text)`` to ``(doc_id, text_key, fp binary, band int, n int, own binary)``, a row for each row.
 
-    ``text_key``: tells the texts of a doc_id apart. ``n``: shingles. ``own``: names the shingle set where sets are
-    compared, else empty. A null text is an empty one.
+    ``text_key``: tells the texts of a doc_id apart. ``n``: shingles, where the plan compares or bounds by their number,
+    else 0. ``own``: names the shingle set where sets are compared, else empty. A null text is an empty one.
     """
 
+    counted = bool(plan.few or plan.similarity)
+
     def run(batch: pa.RecordBatch) -> dict:
         fps, sizes, own = [], [], []
         for text in batch.column("text").to_pylist():
@@ -158,7 +162,7 @@ def fingerprints(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
             band = [int(math.log(n) / math.log(plan.size_ratio)) if n else -2 for n in sizes]
         else:
             band = [int.from_bytes(f, "little").bit_count() for f in fps]
-        return {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32()), "n": pa.array(sizes, pa.int32()), "own": pa.array(own, pa.binary())}
+        return {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "fp": pa.array(fps, pa.binary()), "band": pa.array(band, pa.int32()), "n": pa.array(sizes if counted else [0] * len(sizes), pa.int32()), "own": pa.array(own, pa.binary())}
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     return mapped(keyed, run, "doc_id bigint, text_key bigint, fp binary, band int, n int, own binary")
@@ -325,13 +329,13 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _homes(docs: DataFrame, fps: DataFrame, plan: Plan) -> DataFrame:
-    """``(node, component, first, fp, band, own)`` per class of ``fps``: ``first`` is its smallest (doc_id, text_key)."""
-    each = fps.where("doc_id is not null").groupBy("fp", "band", "n", "own").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    """``(node, component, first, fp, band, n, own)`` per class of ``fps``: ``first`` is its smallest (doc_id, text_key)."""
+    each = fps.where("doc_id is not null").groupBy(*CLASS).agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     # Numbers of their own: several classes can have a doc_id. They are fixed by being written.
     classes = settle(each.withColumn("node", row_id()), "simhash-class")
     links = similar_links(docs, classes, plan) if plan.similarity else linked(classes, plan)
     found = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return settle(found.select("node", "component", "first", "fp", "band", "own"), "simhash-home")
+    return settle(found.select("node", "component", "first", *CLASS), "simhash-home")
 
 
 def groups(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -344,8 +348,8 @@ def groups(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     fps = settle(fingerprints(docs, plan), "simhash")
     homes = _homes(docs, fps, plan)
     least = settle(homes.groupBy("component").agg(F.min("first.doc_id").alias("component_id")), "simhash-least")
-    named = settle(homes.join(least, "component").select("fp", "band", "own", "component_id"), "simhash-named")
-    out = fps.where("doc_id is not null").join(named, ["fp", "band", "own"]).select("doc_id", "fp", "component_id")
+    named = settle(homes.join(least, "component").select(*CLASS, "component_id"), "simhash-named")
+    out = fps.where("doc_id is not null").join(named, CLASS).select("doc_id", "fp", "component_id")
     return out.union(fps.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("bigint").alias("component_id")))
 
 

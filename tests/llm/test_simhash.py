@@ -62,6 +62,16 @@ def test_edge_texts(spark):
     check(spark, rows)
 
 
+def test_one_row_per_row_of_texts_with_one_fingerprint(spark):
+    # The same shingle more or less often: one fingerprint, several numbers of shingles.
+    rows = [(k, "word " * (3 + k % 5), "en", "s", 1) for k in range(10)] + [(20, "a b a b a b", "en", "s", 1), (21, "b a b a " * 2, "en", "s", 1)]
+    fps = {r[0]: brute_fp(r[1]) for r in rows}
+    want = brute_components(sorted(fps), fps)
+    found = simhash.groups(spark.createDataFrame(rows, DOCS)).select("doc_id", simhash.hex_digits("fp").alias("f"), "component_id")
+    assert sorted((r.doc_id, int(r.f, 16), r.component_id) for r in found.collect()) == [(i, fps[i], want[i]) for i in sorted(fps)]
+    assert found.where("doc_id < 10").select("f").distinct().count() == 1
+
+
 def test_empty_table_repeats_and_null_ids(spark):
     assert simhash.groups(spark.createDataFrame([], DOCS)).count() == 0
     assert simhash.deduplicate(spark.createDataFrame([], DOCS)).count() == 0
